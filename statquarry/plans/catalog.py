@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from statquarry.functions import parsing
 from statquarry.operators import cluster, distribution, joins, ordering, prepare, ranking, shape, stats, valuation
+from statquarry.operators import neighbours as knn
 from statquarry.plans import views
 from statquarry.plans.views import TEXT_COLUMNS, profile, profile_long, table, with_views
 from statquarry.sources import pages as page_source
@@ -911,22 +912,21 @@ def _knn_sql() -> str:
     diffs = {f: f"(r.{f} - d.{f}) * (r.{f} - d.{f})" for f in _KNN_FEATURES}
     shared = " + ".join(f"CAST({e} IS NOT NULL AS INTEGER)" for e in diffs.values())
     total = " + ".join(f"coalesce({e}, 0.0)" for e in diffs.values())
-    gaps = [f for f in _KNN_FEATURES if f in ("acctbal", "max_order")]
     parts = ", ".join(
         f"""near_{t} AS (SELECT rid, avg(v) AS v FROM (SELECT r.c_custkey AS rid, d.{t} AS v, row_number() OVER (
             PARTITION BY r.c_custkey ORDER BY sqrt(4.0 / ({shared}) * ({total})), d.c_custkey) AS rank
-            FROM gaps r JOIN gaps d ON r.{t} IS NULL AND d.{t} IS NOT NULL) WHERE rank <= 5 GROUP BY rid)"""
-        for t in gaps
+            FROM gaps r JOIN gaps d ON r.{t} IS NULL AND d.{t} IS NOT NULL AND ({shared}) > 0) WHERE rank <= 5 GROUP BY rid)"""
+        for t in _KNN_FEATURES
     )
-    filled = ", ".join(f"round(coalesce(g.{t}, near_{t}.v), 4) AS {t}" for t in gaps)
-    joined = " ".join(f"LEFT JOIN near_{t} ON near_{t}.rid = g.c_custkey" for t in gaps)
-    return with_views("gaps") + f", {parts} SELECT c_custkey, {filled}, n_orders, order_value FROM gaps g {joined}"
+    filled = ", ".join(f"round(coalesce(g.{t}, near_{t}.v, avg(g.{t}) OVER ()), 4) AS {t}" for t in _KNN_FEATURES)
+    joined = " ".join(f"LEFT JOIN near_{t} ON near_{t}.rid = g.c_custkey" for t in _KNN_FEATURES)
+    return with_views("gaps") + f", {parts} SELECT c_custkey, {filled} FROM gaps g {joined}"
 
 
 @query("knn_impute", _knn_sql())
 def knn_impute(spark: SparkSession, folder: str) -> DataFrame:
     rows = views.gaps(spark, folder).select("c_custkey", *_KNN_FEATURES)
-    return rounded(prepare.knn_impute(rows, _KNN_FEATURES, "c_custkey"), "acctbal", "max_order")
+    return rounded(knn.knn_impute(rows, _KNN_FEATURES, "c_custkey"), *_KNN_FEATURES)
 
 
 @query(

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statquarry.functions.parsing import age_years, money, money_raw, score, strip_space, unsentinel
-from statquarry.operators import cluster, distribution, joins, longform, prepare, ranking, shape, stats, valuation
+from statquarry.operators import cluster, distribution, joins, longform, neighbours, prepare, ranking, shape, stats, valuation
 from statquarry.operators.ordering import sort_by_first_name
 from statquarry.plans import league
 from statquarry.sources import pages as page_source
@@ -288,8 +288,8 @@ def value_entities(
     train = shape.fill_defaults(train, [], categories)
     test = shape.fill_defaults(test, [], categories)
 
-    train_filled = prepare.knn_impute(train, numeric, key)
-    test_filled = prepare.knn_impute(test, numeric, key, donors=train)
+    train_filled = neighbours.knn_impute(train, numeric, key)
+    test_filled = neighbours.knn_impute(test, numeric, key, donors=train)
     preprocessor = prepare.feature_pipeline(train_filled, numeric, categories)
     ready = preprocessor.transform(train_filled).select("features", "target__log").persist()
     try:
