@@ -135,14 +135,14 @@ def money(c: Column | str) -> Column:
     return round_binary(_scaled_money(text), 2)
 
 
-def round_binary(value: Column, places: int = 2) -> Column:
+def round_binary(c: Column | str, places: int = 2) -> Column:
     """Round by the exact binary value of the double: 2.675 is a little below the tie and gives 2.67.
 
     ``round`` decides by the printed decimals and would give 2.68.  The scaled value is computed without error as
     ``product + rest`` by splitting the double into halves; exact ties go to the even neighbour.  For values
     whose scaled size stays well below 2**52.
     """
-    scale = F.lit(float(10**places))
+    value, scale = _col(c), F.lit(float(10**places))
     carry = value * F.lit(134217729.0)
     upper = carry - (carry - value)
     product = value * scale
