@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statquarry.operators.quantiles import describe
+from statquarry.session import small_side
 
 GRID_POINTS = 200
 _REACH = 39.0  # exp(-z * z / 2) is exactly 0.0 in double precision from |z| = 38.7 on
@@ -18,6 +19,7 @@ def _count_bins(rows: DataFrame, bounds: DataFrame, keys: Sequence[str]) -> Data
 
     Counts are reduced map-side to at most ``bins`` rows per key and task; the bounds side is one row per key.
     """
+    bounds = small_side(bounds)
     width = (F.col("hi") - F.col("lo")) / F.col("bins")
     index = F.least(F.floor((F.col("value") - F.col("lo")) / width) + 1, F.col("bins")).cast("int")
     counts = rows.join(bounds, list(keys)).groupBy(*keys, index.alias("bin")).agg(F.count("*").alias("n"))
@@ -125,7 +127,7 @@ def kde_curve(long: DataFrame, bins: int = 15, fill: float | None = 0.0, points:
     x = F.col("lo") + F.col("point") * F.col("step")
     counted = rows.groupBy("metric", "value").agg(F.count("*").alias("c"))
     bumps = (
-        counted.join(facts, "metric")
+        counted.join(F.broadcast(facts), "metric")  # one row per metric
         .select("metric", "value", "c", "lo", "step", "h", F.explode(F.sequence(first, last)).alias("point"))
         .groupBy("metric", "point")
         .agg(F.sum(F.col("c") * F.exp(-0.5 * F.pow((x - F.col("value")) / F.col("h"), F.lit(2.0)))).alias("bump"))

@@ -34,7 +34,7 @@ def running_number(df: DataFrame, page: str, position: str, name: str = "scrape_
     in_block = Window.partitionBy("__block").orderBy("__page").rowsBetween(*earlier)
     offsets = (
         per_page.withColumn("__inside", F.coalesce(F.sum("__n").over(in_block), F.lit(0)))
-        .join(block_offset, "__block")
+        .join(F.broadcast(block_offset), "__block")  # at most a thousand rows
         .select("__page", (F.col("__before") + F.col("__inside")).alias("__offset"))
     )
     in_page = F.row_number().over(Window.partitionBy(q(page)).orderBy(q(position)))

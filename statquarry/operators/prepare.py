@@ -73,7 +73,7 @@ def one_hot_stages(columns: Sequence[str], indexed: str = "{}__index", encoded:
     hot = [encoded.format(c) for c in columns]
     return [
         StringIndexer(inputCols=list(columns), outputCols=index, handleInvalid="keep", stringOrderType="alphabetAsc"),
-        OneHotEncoder(inputCols=index, outputCols=hot, dropLast=True, handleInvalid="keep"),
+        OneHotEncoder(inputCols=index, outputCols=hot, dropLast=True),
     ]
 
 

@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from statquarry.session import small_side
+
 _PER_OCTAVE = 16
 _OFFSET = 20_000  # above the largest |log2(double)| * _PER_OCTAVE
 _NULL_BUCKET = 100_000  # sorts after every value bucket
@@ -34,6 +36,12 @@ def _bucket(value: Column) -> Column:
     )
 
 
+def _anchor(bucket: Column) -> Column:
+    """Lower end (towards zero) of a bucket; deviations from it sum up without losing digits of large values."""
+    size = F.pow(F.lit(2.0), (F.abs(bucket) - _OFFSET) / F.lit(float(_PER_OCTAVE)))
+    return F.when((bucket == 0) | (bucket == _NULL_BUCKET), F.lit(0.0)).otherwise(F.signum(bucket) * size)
+
+
 def _slice(value: Column, low: Column, high: Column) -> Column:
     position = F.floor((value - low) / (high - low) * _SLICES).cast("int")
     return F.when((high > low) & value.isNotNull(), position).otherwise(F.lit(0))
@@ -55,7 +63,7 @@ def _holds_rank(probs: Sequence[float], start: Column, count: Column) -> Column:
 
 def _matching(rows: DataFrame, wanted: DataFrame, names: Sequence[str]) -> DataFrame:
     """Inner join on ``names``, NULL keys equal; the columns of ``wanted`` replace those of the same name."""
-    renamed = wanted.withColumnsRenamed({name: f"w_{name}" for name in names})
+    renamed = small_side(wanted.withColumnsRenamed({name: f"w_{name}" for name in names}))
     condition = F.lit(True)
     for name in names:
         condition = condition & F.col(name).eqNullSafe(F.col(f"w_{name}"))
@@ -73,14 +81,16 @@ def describe(
     keys = list(keys)
     rows = rows.select(*keys, F.col(value).cast("double").alias("v"), _bucket(F.col(value).cast("double")).alias("b"))
 
+    offset = F.col("v") - _anchor(F.col("b"))
     profile = rows.groupBy(*keys, "b").agg(
         F.count("*").alias("c"),
         F.count("v").alias("nb"),
-        F.avg("v").alias("mb"),
-        F.var_pop("v").alias("vb"),
+        F.avg(offset).alias("mb"),
+        F.var_pop(offset).alias("vb"),
         F.min("v").alias("lo"),
         F.max("v").alias("hi"),
     )
+    profile = profile.withColumn("mb", F.col("mb") + _anchor(F.col("b")))
     per_key = Window.partitionBy(*keys)
     n = F.sum("nb").over(per_key)
     running = per_key.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -32,7 +32,8 @@ def ranked_entities(long: DataFrame, k: int = 3, side: str = "top") -> DataFrame
     in input order instead.  The rank filter becomes a partial and a final group limit, so every task forwards at
     most ``k`` rows per metric, however many rows a metric has.
     """
-    flags = metric_flags(long).select("metric", "is_constant")
+    # one row per metric, that is per column of the wide table: always small enough to broadcast
+    flags = F.broadcast(metric_flags(long).select("metric", "is_constant"))
     rows = long.where(F.col("value").isNotNull()).join(flags, "metric")
     merit = -F.col("value") if side == "top" else F.col("value")
     order: list[Column] = [

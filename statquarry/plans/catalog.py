@@ -57,13 +57,13 @@ def page_scan_valid(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _LINKS = """links AS (
-    SELECT page_id, CAST(position AS BIGINT) AS position, regexp_extract(item, '(?s)>([^<]*)</a>', 1) AS text,
+    SELECT page_id, CAST(row_in_page AS BIGINT) AS row_in_page, regexp_extract(item, '(?s)>([^<]*)</a>', 1) AS text,
            regexp_extract(item, 'href="([^"]*)"', 1) AS href
     FROM (SELECT page_id, unnest(regexp_extract_all(html, '(?s)<li>.*?</li>')) AS item,
-                 generate_subscripts(regexp_extract_all(html, '(?s)<li>.*?</li>'), 1) AS position FROM pages))"""
+                 generate_subscripts(regexp_extract_all(html, '(?s)<li>.*?</li>'), 1) AS row_in_page FROM pages))"""
 
 
-@query("html_rows", f"WITH {_LINKS} SELECT page_id, position, trim(text) AS text, href FROM links")
+@query("html_rows", f"WITH {_LINKS} SELECT page_id, row_in_page, trim(text) AS text, href FROM links")
 def html_rows(spark: SparkSession, folder: str) -> DataFrame:
     return page_source.link_rows(table(spark, folder, "pages"))
 
@@ -93,13 +93,13 @@ def html_attrs(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "scrape_order",
-    f"""WITH {_LINKS} SELECT page_id, position, text, row_number() OVER (ORDER BY page_id, position) AS scrape_order
+    f"""WITH {_LINKS} SELECT page_id, row_in_page, text, row_number() OVER (ORDER BY page_id, row_in_page) AS scrape_order
         FROM links WHERE trim(text) NOT IN ('', 'N/a', 'the', 'de')""",
 )
 def scrape_order(spark: SparkSession, folder: str) -> DataFrame:
     links = page_source.link_rows(table(spark, folder, "pages"))
     return page_source.in_scrape_order(links, "text", ("", "N/a", "the", "de")).select(
-        "page_id", "position", "text", "scrape_order"
+        "page_id", "row_in_page", "text", "scrape_order"
     )
 
 

@@ -5,6 +5,9 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 200_000
 
 
 def local_session(cpus: int | str = "*", app: str = "statquarry", shuffle: int = 8) -> SparkSession:
@@ -40,3 +43,13 @@ def materialise(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="statquarry-checkpoint-")
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A join side that is usually small: computed once, counted, and broadcast only when the count allows.
+
+    The planner cannot know that an aggregate over a huge table is small, and would shuffle the huge side for it.
+    Beyond ``max_rows`` the plain table is returned, and the join shuffles with adaptive splitting of hot keys.
+    """
+    kept = materialise(df)
+    return F.broadcast(kept) if kept.count() <= max_rows else kept

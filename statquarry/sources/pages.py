@@ -64,12 +64,12 @@ def table_rows(pages: DataFrame, table_id: str, fields: Sequence[str]) -> DataFr
 
 
 def link_rows(pages: DataFrame, item_tag: str = "li") -> DataFrame:
-    """``page_id, position, text, href`` of every linked list item."""
-    items = F.posexplode(elements(readable(F.col("html")), item_tag)).alias("position", "item")
+    """``page_id, row_in_page, text, href`` of every linked list item."""
+    items = F.posexplode(elements(readable(F.col("html")), item_tag)).alias("row_in_page", "item")
     link = first_element(F.col("item"), "a")
     return pages.select("page_id", items).select(
         "page_id",
-        (F.col("position") + 1).cast("bigint").alias("position"),
+        (F.col("row_in_page") + 1).cast("bigint").alias("row_in_page"),
         text_or(link).alias("text"),
         attribute_or(link, "href").alias("href"),
     )
@@ -81,12 +81,12 @@ def listing_rows(
     texts: Mapping[str, Sequence[tuple[str, str | None]]],
     attributes: Mapping[str, tuple[Sequence[tuple[str, str | None]], str]] | None = None,
 ) -> DataFrame:
-    """``page_id, position, <texts>, <attributes>`` of each row of the ``tbody`` with that id.
+    """``page_id, row_in_page, <texts>, <attributes>`` of each row of the ``tbody`` with that id.
 
     A path is a list of (tag, classes) steps whose first step is the table cell; a missing element gives ``'N/a'``.
     """
     body = first_element(readable(F.col("html")), "tbody", attrs={"id": body_id})
-    rows = pages.select("page_id", F.posexplode(elements(body, "tr")).alias("position", "tr"))
+    rows = pages.select("page_id", F.posexplode(elements(body, "tr")).alias("row_in_page", "tr"))
 
     def reach(path: Sequence[tuple[str, str | None]]) -> Column:
         cell, *inner = path
@@ -95,7 +95,7 @@ def listing_rows(
 
     return rows.select(
         "page_id",
-        (F.col("position") + 1).cast("bigint").alias("position"),
+        (F.col("row_in_page") + 1).cast("bigint").alias("row_in_page"),
         *[text_or(reach(path)).alias(name) for name, path in texts.items()],
         *[attribute_or(reach(path), attr).alias(name) for name, (path, attr) in (attributes or {}).items()],
     )
@@ -140,4 +140,4 @@ def page_fields(pages: DataFrame, fields: Mapping[str, tuple[str, str | None, st
 
 def in_scrape_order(rows: DataFrame, entity: str, placeholders: Sequence[str] = ("", MISSING)) -> DataFrame:
     """Rows with a real entity name, numbered from 1 without gaps in page and row order."""
-    return running_number(drop_placeholders(rows, entity, placeholders), "page_id", "position")
+    return running_number(drop_placeholders(rows, entity, placeholders), "page_id", "row_in_page")

@@ -49,9 +49,9 @@ def test_listing_rows(spark):
     }
     attributes = {"nation": ([("td", "nationality"), ("span", "ficon")], "title"),
                   "url": ([("td", "td-player"), ("div", "text"), ("a", None)], "href")}
-    rows = ps.listing_rows(df, "player-table-body", texts, attributes).orderBy("position").collect()
+    rows = ps.listing_rows(df, "player-table-body", texts, attributes).orderBy("row_in_page").collect()
     got = [tuple(r)[2:] for r in ps.listing_rows(df, "player-table-body", {"player": texts["player"], "age": texts["age"]},
-                                                attributes).orderBy("position").collect()]
+                                                attributes).orderBy("row_in_page").collect()]
     assert got == [
         ("ErlingHaaland", "24-100", "Côte d'Ivoire", "/p/haaland"), ("N/a", "30", "N/a", "N/a"), ("Łukasz", "N/a", "N/a", "/p/2"),
     ]
@@ -60,10 +60,10 @@ def test_listing_rows(spark):
 
 def test_scrape_order_is_gap_free(spark):
     rows = [(p, i, "" if (p + i) % 4 == 0 else f"n{p}-{i}") for p in (50, 3, 900, 7) for i in range(1, 6)]
-    df = spark.createDataFrame(rows, "page_id bigint, position bigint, name string").repartition(7)
+    df = spark.createDataFrame(rows, "page_id bigint, row_in_page bigint, name string").repartition(7)
     got = ps.in_scrape_order(df, "name").orderBy("scrape_order").collect()
     kept = sorted((p, i) for p, i, n in rows if n)
-    assert [(r["page_id"], r["position"]) for r in got] == kept
+    assert [(r["page_id"], r["row_in_page"]) for r in got] == kept
     assert [r["scrape_order"] for r in got] == list(range(1, len(kept) + 1))
 
 
