@@ -7,6 +7,7 @@ The helpers look for *elements by tag and class / attribute*; nesting of an elem
 from __future__ import annotations
 
 import html.entities
+import json
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -24,9 +25,9 @@ def readable(page: Column) -> Column:
 
 
 def _entity_table() -> Column:
-    """Named entities known to the standard library, as one map literal."""
-    pairs = [F.lit(x) for name, code in sorted(html.entities.name2codepoint.items()) for x in (f"&{name};", chr(code))]
-    return F.create_map(*pairs, F.lit("&apos;"), F.lit("'"))
+    """Named entities known to the standard library, as one literal that folds to a constant map."""
+    table = {f"&{name};": chr(code) for name, code in html.entities.name2codepoint.items()} | {"&apos;": "'"}
+    return F.from_json(F.lit(json.dumps(table)), "map<string,string>")
 
 
 def _from_code(code: Column) -> Column:
@@ -34,7 +35,10 @@ def _from_code(code: Column) -> Column:
 
 
 def decode_entities(text: Column) -> Column:
-    """``&amp;``, ``&#39;``, ``&#x27;`` to characters, each token decoded once; unknown entities stay as they are."""
+    """``&amp;``, ``&#39;``, ``&#x27;`` to characters, each token decoded once; unknown entities stay as they are.
+
+    ``text`` appears once in the result, so a costly expression behind it is evaluated once.
+    """
     table = _entity_table()
 
     def piece(p: Column) -> Column:
@@ -47,8 +51,7 @@ def decode_entities(text: Column) -> Column:
             .otherwise(p)
         )
 
-    pieces = F.transform(F.regexp_extract_all(text, F.lit(_PIECE), F.lit(0)), piece)
-    return F.when(text.contains("&"), F.array_join(pieces, "")).otherwise(text)
+    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_PIECE), F.lit(0)), piece), "")
 
 
 def element_text(markup: Column) -> Column:
@@ -90,10 +93,8 @@ def first_opening(page: Column, tag: str, cls: str | None = None) -> Column:
 
 def attribute(element: Column, name: str) -> Column:
     """Attribute of the element's own opening tag, entities decoded; NULL when absent."""
-    own = F.regexp_extract(element, r"(?s)^<[^>]*>", 0)
-    pattern = rf"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)')"""
-    value = F.concat(F.regexp_extract(own, pattern, 1), F.regexp_extract(own, pattern, 2))
-    return F.when(own.rlike(rf"(?i)\s{name}\s*="), decode_entities(value))
+    pattern = rf"""(?is)^<[^>]*?\s{name}\s*=\s*(["'])(.*?)\1"""
+    return decode_entities(F.try_element_at(F.regexp_extract_all(element, F.lit(pattern), F.lit(2)), F.lit(1)))
 
 
 def path_element(row: Column, steps: list[tuple[str, str | None]]) -> Column:

@@ -27,13 +27,16 @@ def q(name: str) -> Column:
 
 
 # ---- projection and schema ----------------------------------------------------------------------------------
-def export_projection(df: DataFrame, fields: Sequence[tuple[str, str]], default: str = MISSING) -> DataFrame:
-    """Ordered output columns from ``(header, field)`` pairs.
+def export_projection(
+    df: DataFrame, fields: Sequence[tuple[str, str]], default: str = MISSING, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Ordered output columns from ``(header, field)`` pairs, after the columns in ``keep``.
 
     A field may feed several headers; a field the input lacks, and a NULL cell, give ``default``.
     """
     have = set(df.columns)
     return df.select(
+        *[q(c) for c in keep],
         *[
             (F.coalesce(q(field).cast("string"), F.lit(default)) if field in have else F.lit(default)).alias(header)
             for header, field in fields

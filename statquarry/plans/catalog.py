@@ -38,6 +38,19 @@ def rounded(df: DataFrame, *columns: str, places: int = 4) -> DataFrame:
     return df.withColumns({c: F.round(c, places) for c in columns})
 
 
+def on_grid(df: DataFrame, *columns: str) -> DataFrame:
+    """Averages to the nearest 1/16384, the precision at which two engines are compared.
+
+    The average of a few two-decimal numbers often lies exactly half-way between two four-decimal ones, where the last
+    bit of a sum decides; it does not lie half-way on a binary grid.
+    """
+    return df.withColumns({c: F.round(F.col(c) * 16384.0) / 16384.0 for c in columns})
+
+
+def _grid_sql(expression: str, name: str) -> str:
+    return f"round({expression} * 16384.0) / 16384.0 AS {name}"
+
+
 # ---- pages ------------------------------------------------------------------------------------------------------
 _PLAIN = "replace(replace(regexp_replace({x}, '(?s)<[^>]*>', '', 'g'), '&quot;', '\"'), '&amp;', '&')"
 
@@ -646,18 +659,19 @@ def distinct_keys(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # ---- statistics and leader boards -----------------------------------------------------------------------------------
-_STATS = """round(median(value), 4) AS median, round(avg(value), 4) AS mean, round(stddev_samp(value), 4) AS std,
-    count(value) AS n"""
+_STATS = ", ".join(
+    [_grid_sql("median(value)", "median"), _grid_sql("avg(value)", "mean"), _grid_sql("stddev_samp(value)", "std")]
+) + ", count(value) AS n"
 
 
 @query("overall_stats", with_views("lines_long") + f"SELECT metric, {_STATS} FROM lines_long GROUP BY metric")
 def overall_stats(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(stats.overall_stats(views.lines_long(spark, folder)), "median", "mean", "std")
+    return on_grid(stats.overall_stats(views.lines_long(spark, folder)), "median", "mean", "std")
 
 
 @query("group_stats", with_views("lines_long") + f"SELECT metric, grp, {_STATS} FROM lines_long GROUP BY metric, grp")
 def group_stats(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(stats.group_stats(views.lines_long(spark, folder)), "median", "mean", "std")
+    return on_grid(stats.group_stats(views.lines_long(spark, folder)), "median", "mean", "std")
 
 
 _WITH_ALL = f"""SELECT true AS is_all, 'all' AS grp, metric, {_STATS} FROM profile_long GROUP BY metric
@@ -666,7 +680,7 @@ _WITH_ALL = f"""SELECT true AS is_all, 'all' AS grp, metric, {_STATS} FROM profi
 
 @query("stats_with_all", with_views("profile_long") + _WITH_ALL)
 def stats_with_all(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(stats.stats_with_all(profile_long(spark, folder)), "median", "mean", "std")
+    return on_grid(stats.stats_with_all(profile_long(spark, folder)), "median", "mean", "std")
 
 
 @query(
@@ -693,15 +707,15 @@ def _leaders(spark: SparkSession, folder: str) -> DataFrame:
     return stats.leaders(stats.group_means(profile_long(spark, folder)))
 
 
-@query("group_leaders", _leaders_sql("DESC") + " SELECT metric, grp, round(mean, 4) AS mean FROM best")
+@query("group_leaders", _leaders_sql("DESC") + f" SELECT metric, grp, {_grid_sql('mean', 'mean')} FROM best")
 def group_leaders(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(_leaders(spark, folder), "mean")
+    return on_grid(_leaders(spark, folder), "mean")
 
 
-@query("group_leaders_low", _leaders_sql("ASC") + " SELECT metric, grp, round(mean, 4) AS mean FROM best")
+@query("group_leaders_low", _leaders_sql("ASC") + f" SELECT metric, grp, {_grid_sql('mean', 'mean')} FROM best")
 def group_leaders_low(spark: SparkSession, folder: str) -> DataFrame:
     means = stats.group_means(profile_long(spark, folder))
-    return rounded(stats.leaders(means, lowest_wins=views.PROFILE_METRICS), "mean")
+    return on_grid(stats.leaders(means, lowest_wins=views.PROFILE_METRICS), "mean")
 
 
 @query(
@@ -739,14 +753,14 @@ def top_group(spark: SparkSession, folder: str) -> DataFrame:
                    CASE WHEN metric = 'c_acctbal' THEN -mean ELSE mean END DESC NULLS LAST, grp) AS r FROM means),
         wanted AS (SELECT * FROM (VALUES (1, 'order_value', 'highest'), (2, 'c_acctbal', 'lowest'),
                    (3, 'not_there', 'highest')) AS t(position, metric, side))
-        SELECT position, w.metric, side, grp, round(mean, 4) AS mean,
+        SELECT position, w.metric, side, grp, round(mean * 16384.0) / 16384.0 AS mean,
                CASE WHEN r IS NULL THEN 'missing' ELSE 'ok' END AS status
         FROM wanted w LEFT JOIN (SELECT * FROM ranked WHERE r = 1) b ON w.metric = b.metric""",
 )
 def key_metric_report(spark: SparkSession, folder: str) -> DataFrame:
     means = stats.group_means(profile_long(spark, folder))
     report = stats.key_metric_report(means, ["order_value", "c_acctbal", "not_there"], ["c_acctbal"])
-    return rounded(report, "mean")
+    return on_grid(report, "mean")
 
 
 # ---- rankings -------------------------------------------------------------------------------------------------------
@@ -887,12 +901,12 @@ def kde_curve(spark: SparkSession, folder: str) -> DataFrame:
 # ---- preparation --------------------------------------------------------------------------------------------------------
 @query(
     "impute_mean",
-    with_views("gaps") + """SELECT c_custkey, round(coalesce(acctbal, avg(acctbal) OVER ()), 4) AS acctbal,
-        round(coalesce(max_order, avg(max_order) OVER ()), 4) AS max_order FROM gaps""",
+    with_views("gaps") + """SELECT c_custkey, round(coalesce(acctbal, avg(acctbal) OVER ()) * 16384.0) / 16384.0 AS acctbal,
+        round(coalesce(max_order, avg(max_order) OVER ()) * 16384.0) / 16384.0 AS max_order FROM gaps""",
 )
 def impute_mean(spark: SparkSession, folder: str) -> DataFrame:
     rows = views.gaps(spark, folder).select("c_custkey", "acctbal", "max_order", "nothing")
-    return rounded(prepare.impute_mean(rows, ["acctbal", "max_order", "nothing"]), "acctbal", "max_order")
+    return on_grid(prepare.impute_mean(rows, ["acctbal", "max_order", "nothing"]), "acctbal", "max_order")
 
 
 @query(

@@ -19,6 +19,7 @@ from statquarry.functions.parsing import age_years, money, money_raw, score, str
 from statquarry.operators import cluster, distribution, joins, longform, neighbours, prepare, ranking, shape, stats, valuation
 from statquarry.operators.ordering import sort_by_first_name
 from statquarry.plans import league
+from statquarry.session import materialise
 from statquarry.sources import pages as page_source
 
 
@@ -38,11 +39,13 @@ def collect_wide(pages: DataFrame, edition: str = "later", min_minutes: int = le
         if table != league.BASE_TABLE and fields:
             details.append((page_source.table_rows(pages, table, ["player", *fields]), fields))
     wide = joins.update_join(base.drop("page_id"), details, "player")
-    ordered = sort_by_first_name(wide, "player", "row_no")
-    export = shape.export_projection(ordered, league.export_fields(edition))
-    return shape.clean_columns(export, [h for h in export.columns if h not in league.IDENTITY_COLUMNS]) if (
-        edition == "later"
-    ) else export
+    headers = [header for header, _ in league.export_fields(edition)]
+    export = shape.export_projection(wide, league.export_fields(edition), keep=["row_no"])
+    if edition == "later":
+        # which columns are numbers takes a pass of its own, so the parsed table is written once in between
+        export = materialise(export)
+        export = shape.clean_columns(export, [h for h in headers if h not in league.IDENTITY_COLUMNS])
+    return sort_by_first_name(export, "Player", "row_no").select(*[shape.q(h) for h in headers])
 
 
 # ---- profile ----------------------------------------------------------------------------------------------------

@@ -27,14 +27,17 @@ from statquarry.operators.shape import drop_placeholders
 
 
 def valid_pages(pages: DataFrame, tag: str = "table", element_id: str | None = None, row_tag: str = "tr") -> DataFrame:
-    """Pages that hold the wanted element with more than one row; adds ``block`` (the element) and ``n_rows``."""
+    """Pages that hold the wanted element with more than one row; adds ``block`` (the element) and ``n_rows``.
+
+    The element is found and tested inside one generator: a filter on it would be pushed below and search the page twice.
+    """
     attrs = {"id": element_id} if element_id else None
     block = first_element(readable(F.col("html")), tag, attrs=attrs)
-    return (
-        pages.withColumn("block", block)
-        .withColumn("n_rows", F.regexp_count(F.col("block"), F.lit(rf"(?i)<{row_tag}\b")))
-        .where(F.col("n_rows") > 1)
+    count = F.lit(rf"(?i)<{row_tag}\b")
+    found = F.transform(
+        F.array(block), lambda b: F.struct(b.alias("block"), F.regexp_count(b, count).alias("n_rows"))
     )
+    return pages.select(*[c for c in pages.columns if c != "html"], F.inline(F.filter(found, lambda f: f["n_rows"] > 1)))
 
 
 def _cell_list(row: Column) -> Column:
@@ -88,9 +91,13 @@ def listing_rows(
     body = first_element(readable(F.col("html")), "tbody", attrs={"id": body_id})
     rows = pages.select("page_id", F.posexplode(elements(body, "tr")).alias("row_in_page", "tr"))
 
+    paths = [*texts.values(), *[path for path, _ in (attributes or {}).values()]]
+    cells = {cell: f"cell{i}" for i, cell in enumerate(dict.fromkeys(tuple(path[0]) for path in paths))}
+    rows = rows.select("page_id", "row_in_page", *[first_element(F.col("tr"), *c).alias(n) for c, n in cells.items()])
+
     def reach(path: Sequence[tuple[str, str | None]]) -> Column:
         cell, *inner = path
-        outer = first_element(F.col("tr"), *cell)
+        outer = F.col(cells[tuple(cell)])
         return path_element(outer, list(inner)) if inner else outer
 
     return rows.select(
@@ -130,12 +137,13 @@ def page_fields(pages: DataFrame, fields: Mapping[str, tuple[str, str | None, st
 
     ``fields`` maps a name to (tag, classes, attribute); attribute ``None`` means the element's text.
     """
-    page = readable(F.col("html"))
+    page = F.col("page")
 
     def value(tag: str, cls: str | None, attr: str | None) -> Column:
         return text_or(first_element(page, tag, cls)) if attr is None else attribute_or(first_opening(page, tag, cls), attr)
 
-    return pages.select("page_id", *[value(*spec).alias(name) for name, spec in fields.items()])
+    cleaned = pages.select("page_id", readable(F.col("html")).alias("page"))
+    return cleaned.select("page_id", *[value(*spec).alias(name) for name, spec in fields.items()])
 
 
 def in_scrape_order(rows: DataFrame, entity: str, placeholders: Sequence[str] = ("", MISSING)) -> DataFrame:
