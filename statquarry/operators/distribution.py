@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statquarry.operators.quantiles import describe
@@ -54,11 +54,11 @@ def histogram_by_group(long: DataFrame, bins: int = 15, fill: float | None = 0.0
     A constant group gets a range of one unit around its value.  Metrics constant over all rows are left out.
     """
     keys = ["metric", "grp"]
-    rows = _filled(long.where(F.col("grp").isNotNull()), fill, *keys)
-    own = _range(rows, keys)
-    varying = _range(_filled(long, fill, "metric"), ["metric"]).where(F.col("lo") < F.col("hi")).select("metric")
+    rows = _filled(long, fill, *keys)
+    overall = Window.partitionBy("metric")  # over one row per group
+    own = _range(rows, keys).withColumn("varies", F.min("lo").over(overall) < F.max("hi").over(overall))
     flat = F.col("lo") == F.col("hi")
-    bounds = own.join(varying, "metric", "left_semi").select(
+    bounds = own.where(F.col("varies") & F.col("grp").isNotNull()).select(
         *keys,
         F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
         F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),

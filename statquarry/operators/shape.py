@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from statquarry.functions.parsing import (
@@ -210,8 +210,22 @@ def mostly_null_columns(df: DataFrame, columns: Sequence[str], limit: float = 0.
     return [row["column"] for row in rows]
 
 
-def metric_cardinality(long: DataFrame) -> DataFrame:
-    """``metric, n_distinct, is_constant``; values are deduplicated map-side and across tasks before counting."""
+def observed(df: DataFrame, name: str, stages: Mapping[str, Column]) -> tuple[DataFrame, Observation]:
+    """The same rows with counters that fill in while the next action runs; no job of their own."""
+    seen = Observation(name)
+    return df.observe(seen, *[F.count_if(cond).alias(stage) for stage, cond in stages.items()]), seen
+
+
+def metric_cardinality(long: DataFrame, approx: bool = False) -> DataFrame:
+    """``metric, n_distinct, is_constant``; values are deduplicated map-side and across tasks before counting.
+
+    ``approx`` counts with a sketch of fixed size instead of exchanging the distinct values.
+    """
+    if approx:
+        present = long.where(F.col("value").isNotNull())
+        return present.groupBy("metric").agg(
+            F.approx_count_distinct("value").alias("n_distinct"), (F.min("value") == F.max("value")).alias("is_constant")
+        )
     return (
         long.where(F.col("value").isNotNull()).groupBy("metric", "value").agg(F.lit(1).alias("one"))
         .groupBy("metric")

@@ -341,8 +341,8 @@ def clamp_zero(spark: SparkSession, folder: str) -> DataFrame:
 # ---- projection, filters, discovery ---------------------------------------------------------------------------------
 @query(
     "export_projection",
-    with_views("gaps") + """SELECT c_name AS Player, coalesce(segment, 'N/a') AS Team, CAST(CAST(n_orders AS BIGINT) AS VARCHAR)
-        AS "Performance: count", CAST(CAST(n_orders AS BIGINT) AS VARCHAR) AS "Passing: count", 'N/a' AS "Never fetched"
+    with_views("gaps") + """SELECT c_name AS Player, coalesce(segment, 'N/a') AS Team, coalesce(CAST(CAST(n_orders AS BIGINT) AS VARCHAR), 'N/a')
+        AS "Performance: count", coalesce(CAST(CAST(n_orders AS BIGINT) AS VARCHAR), 'N/a') AS "Passing: count", 'N/a' AS "Never fetched"
         FROM gaps""",
 )
 def export_projection(spark: SparkSession, folder: str) -> DataFrame:

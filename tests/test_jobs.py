@@ -146,3 +146,35 @@ def test_valuation(spark, tmp_path):
     again = model.transform(preprocessor.transform(fresh))
     old = {r["id"]: r["predicted_log"] for r in found.scored.collect()}
     assert {r["id"]: r["predicted_log"] for r in again.collect()} == pytest.approx(old)
+
+
+def test_command_line(spark, pages, tmp_path):
+    from statquarry.__main__ import main
+    from statquarry.sources.tables import read_table
+
+    pages.write.parquet(str(tmp_path / "pages"))
+    main(["collect", "--pages", str(tmp_path / "pages"), "--out", str(tmp_path / "a")], spark)
+    main(["profile", "--wide", str(tmp_path / "a/results"), "--out", str(tmp_path / "b")], spark)
+    table = read_table(spark, str(tmp_path / "b/results2"))
+    rows = {r["Team"]: r for r in table.collect()}
+    assert set(rows) == {"all", "Reds", "Blues"}
+    assert rows["Reds"]["Median of Playing Time: minutes"] == "1200.000" and rows["Blues"]["Std of PrgC"] is None
+    report = "\n".join(r[0] for r in spark.read.text(str(tmp_path / "b/top_3")).collect())
+    assert "   bo Abe: 2000" in report
+    assert spark.read.parquet(str(tmp_path / "b/charts/overall")).where("metric = 'Performance: assists'").count() == 15
+
+
+def test_command_line_valuation_keeps_namesakes(spark, tmp_path):
+    from statquarry.__main__ import main
+    from statquarry.sources.tables import read_table, write_table
+
+    rng = random.Random(4)
+    players = [(f"p{i // 2}", "T", "MF", str(rng.randint(900, 3000)), str(i)) for i in range(60)]
+    wide = spark.createDataFrame(players, "Player string, Team string, Position string, minutes string, goals string")
+    values = spark.createDataFrame([(f"p{i}", "U", float(i + 1)) for i in range(30)], "Player string, Team string, TransferValue_EUR_Millions double")
+    write_table(wide, str(tmp_path / "w"))
+    write_table(values, str(tmp_path / "v"))
+    main(["valuation", "--wide", str(tmp_path / "w"), "--values", str(tmp_path / "v"), "--draws", "1", "--trees", "3", "5",
+          "--out", str(tmp_path / "o")], spark)
+    scored = read_table(spark, str(tmp_path / "o/residuals"))
+    assert scored.count() == int(read_table(spark, str(tmp_path / "o/metrics")).first()["n"])

@@ -88,5 +88,8 @@ def test_category_sample_keeps_first_seen(spark):
 def test_stage_counts_and_fill(spark):
     counts = shape.stage_counts(frame(spark), {"all": F.lit(True), "named": F.col("name") != ""}).collect()
     assert [tuple(r) for r in counts] == [("all", 4), ("named", 3)]
+    df, seen = shape.observed(frame(spark), "stage", {"rows": F.lit(True), "named": F.col("name") != ""})
+    df.write.format("noop").mode("overwrite").save()
+    assert seen.get == {"rows": 4, "named": 3}
     filled = shape.fill_defaults(frame(spark), ["d"], ["grp"]).orderBy("row_no").collect()
     assert filled[1]["d"] == 0.0 and filled[3]["grp"] == "Missing"
