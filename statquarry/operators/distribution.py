@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statquarry.operators.quantiles import describe
-from statquarry.session import small_side
+from statquarry.session import materialise, small_join
 
 GRID_POINTS = 200
 _REACH = 39.0  # exp(-z * z / 2) is exactly 0.0 in double precision from |z| = 38.7 on
@@ -19,10 +19,10 @@ def _count_bins(rows: DataFrame, bounds: DataFrame, keys: Sequence[str]) -> Data
 
     Counts are reduced map-side to at most ``bins`` rows per key and task; the bounds side is one row per key.
     """
-    bounds = small_side(bounds)
+    bounds = materialise(bounds)
     width = (F.col("hi") - F.col("lo")) / F.col("bins")
     index = F.least(F.floor((F.col("value") - F.col("lo")) / width) + 1, F.col("bins")).cast("int")
-    counts = rows.join(bounds, list(keys)).groupBy(*keys, index.alias("bin")).agg(F.count("*").alias("n"))
+    counts = small_join(rows, bounds, keys).groupBy(*keys, index.alias("bin")).agg(F.count("*").alias("n"))
     spine = bounds.select(*keys, "lo", width.alias("width"), F.explode(F.sequence(F.lit(1), F.col("bins"))).alias("bin"))
     return spine.join(counts, [*keys, "bin"], "left").select(
         *keys, "bin",

@@ -1,7 +1,8 @@
 """Equality joins: update-join, suffixed right join, semi joins by name, lookup with fallback.
 
-No join here is hinted: the planner broadcasts a side only below its size threshold and otherwise shuffles both, with
-adaptive splitting of hot keys.  The side that could multiply rows is reduced to one row per key beforehand.
+No join here is hinted: the planner broadcasts a side only below its size threshold and otherwise shuffles both.  The side
+that could multiply rows is reduced to one row per key beforehand; ``splittable_join`` keeps hot keys of the other side
+splittable by adaptive execution.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from statquarry.functions.parsing import MISSING, name_key, strip_space
 from statquarry.operators.shape import q
+from statquarry.session import splittable_join
 
 
 def latest_details(details: Sequence[tuple[DataFrame, Sequence[str]]], key: str, row_no: str) -> DataFrame:
@@ -47,8 +49,7 @@ def update_join(
     every base row of that key; a later table wins over an earlier one.  A matched row writes even its absent cells
     (as ``default``); an unmatched base row keeps its old values.  New fields of unmatched rows stay NULL.
     """
-    latest = latest_details(details, key, row_no).withColumnRenamed(key, "__key")
-    joined = base.join(latest, q(key) == F.col("__key"), "left")
+    joined = splittable_join(base, latest_details(details, key, row_no), [key], "left")
     values: dict[str, Column] = {c: q(c) for c in base.columns}
     for i, (detail, fields) in enumerate(details):
         types = dict(detail.dtypes)
@@ -71,8 +72,8 @@ def right_join_suffix(left: DataFrame, right: DataFrame, key: str, suffixes: tup
 
 def semi_join_exact(rows: DataFrame, allowed: DataFrame, key: str) -> DataFrame:
     """Rows whose trimmed name is among the allowed names."""
-    names = allowed.select(strip_space(q(key)).alias("__allowed")).distinct()
-    return rows.join(names, strip_space(q(key)) == F.col("__allowed"), "left_semi")
+    names = allowed.select(strip_space(q(key)).alias("trimmed__")).distinct()
+    return splittable_join(rows.withColumn("trimmed__", strip_space(q(key))), names, ["trimmed__"], "left_semi").drop("trimmed__")
 
 
 def semi_join_namekey(rows: DataFrame, allowed: DataFrame, key: str) -> DataFrame:
@@ -80,10 +81,9 @@ def semi_join_namekey(rows: DataFrame, allowed: DataFrame, key: str) -> DataFram
 
     Names are deduplicated before folding, so Python sees each allowed name once.
     """
-    keys = allowed.select(q(key).alias("__name")).distinct().select(name_key(F.col("__name")).alias("__allowed"))
-    keys = keys.where(F.col("__allowed") != "").distinct()
-    matched = rows.withColumn("__key", name_key(q(key)))
-    return matched.join(keys, F.col("__key") == F.col("__allowed"), "left_semi").drop("__key")
+    keys = allowed.select(q(key).alias("name__")).distinct().select(name_key(F.col("name__")).alias("folded__"))
+    keys = keys.where(F.col("folded__") != "").distinct()
+    return splittable_join(rows.withColumn("folded__", name_key(q(key))), keys, ["folded__"], "left_semi").drop("folded__")
 
 
 def detail_fallback(listing: DataFrame, details: DataFrame, on: str, value: str, fallback: str) -> DataFrame:
@@ -91,9 +91,9 @@ def detail_fallback(listing: DataFrame, details: DataFrame, on: str, value: str,
 
     The detail table keeps its first non-NULL value per key, so listing rows never multiply.
     """
-    found = details.where(q(value).isNotNull()).groupBy(q(on)).agg(F.min(q(value)).alias("__value"))
-    joined = listing.join(found, on, "left")
-    return joined.withColumn(value, F.coalesce(F.col("__value"), q(fallback))).drop("__value")
+    found = details.where(q(value).isNotNull()).groupBy(q(on)).agg(F.min(q(value)).alias("detail__"))
+    joined = splittable_join(listing, found, [on], "left")
+    return joined.withColumn(value, F.coalesce(F.col("detail__"), q(fallback))).drop("detail__")
 
 
 def distinct_keys(df: DataFrame, key: str) -> DataFrame:

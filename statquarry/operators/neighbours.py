@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statquarry.operators.shape import q
-from statquarry.session import materialise
+from statquarry.session import materialise, splittable_join
 
 _AXES = 3
 _ROWS_PER_CELL = 64
@@ -275,7 +275,8 @@ def _bounds(
     ]
     tried = None
     for found, keys in sources:
-        part = rows.join(found, keys).select("rid", "t", "id", _distance(width).alias("dist"))
+        pairs = splittable_join(rows, found, keys) if len(keys) > 1 else rows.join(found, keys)
+        part = pairs.select("rid", "t", "id", _distance(width).alias("dist"))
         tried = part if tried is None else tried.unionByName(part)
     tried = tried.where(F.col("dist").isNotNull()).groupBy("rid", "t", "id").agg(F.min("dist").alias("dist"))
     order = Window.partitionBy("rid", "t").orderBy("dist", "id")

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from statquarry.session import small_side
+from statquarry.session import small_join
 
 _PER_OCTAVE = 16
 _OFFSET = 20_000  # above the largest |log2(double)| * _PER_OCTAVE
@@ -61,15 +61,6 @@ def _holds_rank(probs: Sequence[float], start: Column, count: Column) -> Column:
     return hit
 
 
-def _matching(rows: DataFrame, wanted: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Inner join on ``names``, NULL keys equal; the columns of ``wanted`` replace those of the same name."""
-    renamed = small_side(wanted.withColumnsRenamed({name: f"w_{name}" for name in names}))
-    condition = F.lit(True)
-    for name in names:
-        condition = condition & F.col(name).eqNullSafe(F.col(f"w_{name}"))
-    return rows.join(renamed, condition).drop(*[f"w_{name}" for name in names])
-
-
 def describe(
     rows: DataFrame, keys: Sequence[str], probs: Sequence[float] = (0.5,), value: str = "value"
 ) -> DataFrame:
@@ -112,7 +103,7 @@ def describe(
         .select(*keys, "b", "lo", "hi", "before", *whole)
     )
 
-    inside = _matching(rows, wanted, [*keys, "b"]).withColumn("s", _slice(F.col("v"), F.col("lo"), F.col("hi")))
+    inside = small_join(rows, wanted, [*keys, "b"], null_safe=True).withColumn("s", _slice(F.col("v"), F.col("lo"), F.col("hi")))
     sliced = inside.groupBy(*keys, "b", "s").agg(
         F.count("*").alias("c"), *[F.any_value(x).alias(x) for x in ("before", "lo", "hi", *whole)]
     )
@@ -123,7 +114,7 @@ def describe(
         .select(*keys, "b", "s", "start", "lo", "hi", *whole)
     )
 
-    inside = _matching(rows, wanted, [*keys, "b"]).where(_slice(F.col("v"), F.col("lo"), F.col("hi")) == F.col("s"))
+    inside = small_join(rows, wanted, [*keys, "b"], null_safe=True).where(_slice(F.col("v"), F.col("lo"), F.col("hi")) == F.col("s"))
     valued = inside.groupBy(*keys, "b", "s", "v").agg(
         F.count("*").alias("c"), *[F.any_value(x).alias(x) for x in ("start", *whole)]
     )

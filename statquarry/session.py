@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,11 +46,37 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A join side that is usually small: computed once, counted, and broadcast only when the count allows.
+def _join(left: DataFrame, right: DataFrame, names: Sequence[str], how: str, null_safe: bool, spread: bool) -> DataFrame:
+    other = {name: f"__{name}" for name in names}
+    pairs = [(F.col(f"`{name}`"), F.col(f"`{twin}`")) for name, twin in other.items()]
+    condition = F.xxhash64(*[a for a, _ in pairs]) == F.xxhash64(*[b for _, b in pairs]) if spread else F.lit(True)
+    for a, b in pairs:
+        condition = condition & (a.eqNullSafe(b) if null_safe else a == b)
+    return left.join(right.withColumnsRenamed(other), condition, how).drop(*other.values())
+
+
+def splittable_join(
+    left: DataFrame, right: DataFrame, names: Sequence[str], how: str = "inner", null_safe: bool = False
+) -> DataFrame:
+    """Equi-join on same-named columns whose hot keys adaptive execution can split; columns of ``left`` stay.
+
+    It splits a hot partition only where each side comes straight out of a shuffle made for this join.  A side that is
+    already partitioned by the same columns (an aggregate, a window) would be used as it is, and a key with a third
+    of all rows on the other side would stay in one task.  A hash of the names as one more join condition makes the
+    existing partitioning unfit, so the (reduced) side is shuffled once more and the large side stays splittable.
+    """
+    return _join(left, right, names, how, null_safe, spread=True)
+
+
+def small_join(
+    rows: DataFrame, small: DataFrame, names: Sequence[str], null_safe: bool = False, max_rows: int | None = None
+) -> DataFrame:
+    """Inner join with a side that is usually small: computed once, counted, broadcast only when the count allows.
 
     The planner cannot know that an aggregate over a huge table is small, and would shuffle the huge side for it.
-    Beyond ``max_rows`` the plain table is returned, and the join shuffles with adaptive splitting of hot keys.
+    Beyond ``max_rows`` (default ``BROADCAST_ROWS``) both sides are shuffled, with adaptive splitting of hot keys.
     """
-    kept = materialise(df)
-    return F.broadcast(kept) if kept.count() <= max_rows else kept
+    kept = materialise(small)
+    if kept.count() <= (BROADCAST_ROWS if max_rows is None else max_rows):
+        return _join(rows, F.broadcast(kept), names, "inner", null_safe, spread=False)
+    return splittable_join(rows, kept, names, "inner", null_safe)

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from statquarry.operators import joins
 
@@ -42,7 +43,8 @@ def test_update_join_shuffles_each_side_once(spark, base):
         plan = out._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert plan.count("Exchange hashpartitioning") == 2
+    # the stacked details for their aggregate, then each side once for the join
+    assert plan.count("Exchange hashpartitioning") == 3
 
 
 def test_right_join_suffix(spark):
@@ -66,3 +68,36 @@ def test_detail_fallback_never_multiplies(spark):
     details = spark.createDataFrame([("a", 9.0), ("a", 9.5), ("b", None)], "url string, high double")
     out = joins.detail_fallback(listing, details, "url", "high", "now").orderBy("url")
     assert [(r["url"], r["high"]) for r in out.collect()] == [("a", 9.0), ("b", 2.0), ("c", 3.0)]
+
+
+@pytest.fixture
+def skew_settings(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("kind", ["update", "semi", "fallback"])
+def test_hot_keys_are_split(spark, skew_settings, kind):
+    keyed = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id").cast("string")))
+    base = spark.range(0, 120_000, numPartitions=8).select("id", keyed.alias("player"), F.sha2(F.col("id").cast("string"), 256).alias("shots"))
+    keys = base.select("player").distinct().withColumns({"row_no": F.lit(1), "shots": F.lit("new")})
+    if kind == "update":
+        out = joins.update_join(base, [(keys, ["shots"])], "player")
+    elif kind == "semi":
+        out = joins.semi_join_exact(base, keys, "player")
+    else:
+        out = joins.detail_fallback(base.withColumnRenamed("shots", "now"), keys.select("player", "shots"), "player", "shots", "now")
+    out = out.where(F.length("shots") > 0)
+    assert out.count() == 120_000 and len(out.collect()) == 120_000
+    assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()

@@ -150,3 +150,19 @@ def test_first_name_order(spark):
     df = spark.createDataFrame(rows, "row_no bigint, name string").repartition(4)
     assert [r["row_no"] for r in sort_by_first_name(df, "name", "row_no").collect()] == [4, 2, 5, 1, 3]
     assert pd.Series([1]).sum() == 1
+
+
+def test_same_results_when_the_small_side_is_too_large(spark, long, monkeypatch):
+    from statquarry import session
+    from statquarry.operators import distribution
+
+    def run():
+        found = stats.stats_with_all(long).orderBy("metric", "is_all", "grp").collect()
+        bins = distribution.histogram_by_group(long).orderBy("metric", "grp", "bin").collect()
+        return [tuple(r)[:4] for r in found], [tuple(r) for r in bins]
+
+    usual = run()
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 0)
+    plan = stats.stats_with_all(long)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    assert run() == usual
