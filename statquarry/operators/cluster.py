@@ -20,8 +20,13 @@ def _fit(points: DataFrame, k: int, seed: int, features: str, max_iter: int) ->
 def best_kmeans(
     points: DataFrame, k: int, n_init: int = 10, seed: int = 42, features: str = "features", max_iter: int = 100
 ) -> KMeansModel:
-    """The fit with the least inertia out of ``n_init`` seeded starts."""
-    fits = (_fit(points, k, seed + i, features, max_iter) for i in range(n_init))
+    """The fit with the least inertia out of ``n_init`` seeded starts over one kept copy of the vectors."""
+    kept = points if points.is_cached else points.select(features).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fits = [_fit(kept, k, seed + i, features, max_iter) for i in range(n_init)]
+    finally:
+        if kept is not points:
+            kept.unpersist()
     return min(fits, key=lambda model: model.summary.trainingCost)
 
 

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,12 +44,16 @@ class _Axis:
     spread: float
     cuts: list[float] = field(default_factory=list)
 
+    @cached_property
+    def edges(self) -> Column:
+        return F.array(*[F.lit(c) for c in self.cuts]).cast("array<double>")
+
     def place(self, value: Column) -> Column:
         """``(interval, share)``: the equal-count interval and how far into it, non-decreasing in ``value``.
 
         Values beyond the cut points fall into the outer intervals; NULL for a NULL value.
         """
-        edges = F.array(*[F.lit(c) for c in self.cuts]).cast("array<double>")
+        edges = self.edges
         passed = F.size(F.filter(edges, lambda c: c <= value))
         interval = F.greatest(F.least(passed, F.lit(len(self.cuts) - 1)), F.lit(1)) - 1
         low, high = F.get(edges, interval), F.get(edges, interval + 1)

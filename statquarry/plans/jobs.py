@@ -31,13 +31,14 @@ def collect_wide(pages: DataFrame, edition: str = "later", min_minutes: int = le
     the fields that reach the output are extracted.
     """
     wanted = {field for _, field in league.export_fields(edition)} | {"player", "minutes"}
-    base = page_source.table_rows(pages, league.BASE_TABLE, [f for f in league.TABLE_FIELDS[league.BASE_TABLE] if f in wanted])
+    blocks = materialise(page_source.table_blocks(pages, list(league.TABLE_FIELDS)))  # eight branches read it
+    base = page_source.table_rows(blocks, league.BASE_TABLE, [f for f in league.TABLE_FIELDS[league.BASE_TABLE] if f in wanted])
     base = shape.min_threshold(shape.drop_placeholders(base, "player"), "minutes", min_minutes)
     details = []
     for table, fields in league.TABLE_FIELDS.items():
         fields = [f for f in fields if f in wanted]
         if table != league.BASE_TABLE and fields:
-            details.append((page_source.table_rows(pages, table, ["player", *fields]), fields))
+            details.append((page_source.table_rows(blocks, table, ["player", *fields]), fields))
     wide = joins.update_join(base.drop("page_id"), details, "player")
     headers = [header for header, _ in league.export_fields(edition)]
     export = shape.export_projection(wide, league.export_fields(edition), keep=["row_no"])

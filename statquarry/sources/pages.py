@@ -24,6 +24,7 @@ from statquarry.functions.markup import (
 from statquarry.functions.parsing import MISSING
 from statquarry.operators.ordering import running_number
 from statquarry.operators.shape import drop_placeholders
+from statquarry.session import materialise
 
 
 def valid_pages(pages: DataFrame, tag: str = "table", element_id: str | None = None, row_tag: str = "tr") -> DataFrame:
@@ -47,14 +48,32 @@ def _cell_list(row: Column) -> Column:
     )
 
 
-def table_rows(pages: DataFrame, table_id: str, fields: Sequence[str]) -> DataFrame:
-    """``page_id, row_no, <fields>`` of the stat table with that id.
+def table_blocks(pages: DataFrame, table_ids: Sequence[str]) -> DataFrame:
+    """``page_id, table_id, block``: the wanted tables of each page, found in one pass over the page.
+
+    A page's first table of an id counts, and only if it has more than one row.
+    """
+    tables = F.transform(
+        elements(readable(F.col("html")), "table"),
+        lambda t: F.struct(attribute(t, "id").alias("table_id"), t.alias("block")),
+    )
+    found = pages.select("page_id", tables.alias("tables"))
+    ids = F.transform(F.col("tables"), lambda t: t["table_id"])
+    first = F.filter(
+        F.col("tables"),
+        lambda t, i: t["table_id"].isin(list(table_ids)) & (F.array_position(ids, t["table_id"]) == i + 1),
+    )
+    return found.select("page_id", F.inline(first)).where(F.regexp_count("block", F.lit(r"(?i)<tr\b")) > 1)
+
+
+def table_rows(blocks: DataFrame, table_id: str, fields: Sequence[str]) -> DataFrame:
+    """``page_id, row_no, <fields>`` of the stat table with that id, from ``table_blocks``.
 
     Each ``tr`` without a column-header cell gives a row; each field is the trimmed text of its first
     ``td[data-stat=field]`` or ``'N/a'`` when the cell is absent.  ``row_no`` is ``(page_id, position)``, an orderable
     pair, so order survives any repartitioning.  Every step is narrow.
     """
-    found = valid_pages(pages, "table", table_id)
+    found = blocks.where(F.col("table_id") == table_id)
     rows = found.select("page_id", F.posexplode(elements(F.col("block"), "tr")).alias("position", "tr"))
     rows = rows.where(~F.col("tr").rlike(r"""(?is)<th\b[^>]*\sscope\s*=\s*["']?col["'\s>]"""))
     cells = rows.select("page_id", "position", _cell_list(F.col("tr")).alias("cells"))
@@ -147,5 +166,8 @@ def page_fields(pages: DataFrame, fields: Mapping[str, tuple[str, str | None, st
 
 
 def in_scrape_order(rows: DataFrame, entity: str, placeholders: Sequence[str] = ("", MISSING)) -> DataFrame:
-    """Rows with a real entity name, numbered from 1 without gaps in page and row order."""
-    return running_number(drop_placeholders(rows, entity, placeholders), "page_id", "row_in_page")
+    """Rows with a real entity name, numbered from 1 without gaps in page and row order.
+
+    Numbering reads the rows three times; they are written once first, so pages are parsed once.
+    """
+    return running_number(materialise(drop_placeholders(rows, entity, placeholders)), "page_id", "row_in_page")

@@ -33,13 +33,23 @@ def test_valid_pages(pages):
 
 
 def test_table_rows(pages):
-    rows = ps.table_rows(pages.repartition(3), "stats", ["player", "minutes", "goals", "absent"]).orderBy("row_no").collect()
+    rows = ps.table_rows(ps.table_blocks(pages.repartition(3), ["stats"]), "stats", ["player", "minutes", "goals", "absent"]).orderBy("row_no").collect()
     assert [tuple(r)[2:] for r in rows if r["page_id"] == 1] == [
         ("José & Co", "1,234", "", "N/a"), ("Bob", "91", "N/a", "N/a"), ("Bob", "90", "3", "N/a"),
     ]
     assert [r["page_id"] for r in rows] == [1, 1, 1, 4, 4, 4]
 
 
+def test_first_table_of_an_id_counts(spark):
+    table = '<table id="{}"><tr><th scope="col">P</th></tr>{}</table>'
+    row = '<tr><td data-stat="player">{}</td></tr>'
+    html = table.format("a", row.format("first")) + table.format("b", "") + table.format("a", row.format("second"))
+    df = spark.createDataFrame([(1, html)], "page_id bigint, html string")
+    blocks = ps.table_blocks(df, ["a", "b"])
+    assert [r["table_id"] for r in blocks.collect()] == ["a"]
+    assert [r["player"] for r in ps.table_rows(blocks, "a", ["player"]).collect()] == ["first"]
+
+
 def test_listing_rows(spark):
     df = spark.createDataFrame([(7, LISTING)], "page_id bigint, html string")
     texts = {
