@@ -3,9 +3,10 @@
 Distance between two rows is Euclidean over the coordinates both have, scaled by ``sqrt(features / shared)``.  It is never
 smaller than the difference in any single shared coordinate, which is what the search uses:
 
-1. Donors are placed in the cells of a grid over the (at most three) widest features.  The grid is laid out once for every
-   combination of these features that a row with gaps can offer, so a row never has to look along an axis it has no
-   value on.  A donor without a value on an axis sits in that axis' NULL cell, which every row looks into.
+1. A row with gaps uses a grid over the (at most three) widest features it has a value of.  Donors are placed once in the
+   cells of every grid in use, so no row has to look along an axis it has no value on.  A donor without a value on
+   an axis sits in that axis' NULL cell, which every row of that grid looks into.  With many different gap patterns
+   rows use their widest feature alone, which bounds the number of grids by the number of features.
 2. A few *seed* donors of a row's own cell, of its coarse cell and of the whole table bound the distance of its ``k``-th
    neighbour: any ``k`` donors give a valid bound.
 3. Only cells that reach into the bound are joined, only pairs within it are ranked.
@@ -29,7 +30,8 @@ from pyspark.sql import functions as F
 from statquarry.operators.shape import q
 from statquarry.session import materialise, splittable_join
 
-_AXES = 3
+_AXES = 3  # per grid
+_GRIDS = 16  # with more combinations of axes, one axis per grid
 _ROWS_PER_CELL = 64
 _CUTS = 64  # equal-count intervals per axis; each is split further into equal-width slices
 _SLACK = 1 + 1e-9
@@ -108,25 +110,33 @@ def knn_impute(
     pool = df if donors is None else donors
     vector = F.array(*[q(f).cast("double") for f in features])
     means, axes, n_rows = _survey(pool, features)
+    empty = [F.get(vector, F.lit(i)).isNull() for i in range(width)]
+    missing = F.filter(F.array(*[F.when(empty[i], F.lit(i)) for i in range(width)]), lambda t: t.isNotNull())
+    own_axes = F.filter(
+        F.array(*[F.when(~empty[a.position], F.lit(i)) for i, a in enumerate(axes)]).cast("array<int>"),
+        lambda i: i.isNotNull(),
+    )
+    gaps = df.where(F.coalesce(*[q(f).cast("double") for f in features]).isNotNull()).select(
+        q(key).alias("rid"), vector.alias("rvec"), F.slice(own_axes, 1, _AXES).alias("p"), F.explode(missing).alias("t")
+    )
+    gaps = materialise(gaps)
+    kinds = gaps.select("p", "t").distinct().collect()  # gap patterns of the widest features, not rows
+    if len({tuple(r["p"]) for r in kinds}) > _GRIDS:
+        gaps = gaps.withColumn("p", F.slice("p", 1, 1))
+    patterns, wanted = sorted({tuple(r["p"]) for r in kinds}), sorted({r["t"] for r in kinds})
+    if len(patterns) > _GRIDS:
+        patterns = sorted({p[:1] for p in patterns})
+    gaps = gaps.withColumn("p", F.array_join("p", ","))
+    layouts = _layouts(pool, features, axes, patterns, n_rows)
+    used = sorted({i for layout in layouts.values() for i in layout.used})
 
     copies = Window.partitionBy("vec").orderBy("id")
     placed = (
         pool.select(q(key).alias("id"), vector.alias("vec"))
         .withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k).drop("copy")
     )
-    placed = materialise(_with_places(placed, "vec", axes))
-    empty = [F.get(vector, F.lit(i)).isNull() for i in range(width)]
-    missing = F.filter(
-        F.array(*[F.when(empty[i], F.lit(i)) for i in range(width)]), lambda t: t.isNotNull()
-    )
-    pattern = sum((F.when(~empty[a.position], F.lit(1 << i)).otherwise(F.lit(0)) for i, a in enumerate(axes)), F.lit(0))
-    gaps = df.where(F.coalesce(*[q(f).cast("double") for f in features]).isNotNull()).select(
-        q(key).alias("rid"), vector.alias("rvec"), pattern.alias("p"), F.explode(missing).alias("t")
-    )
-    gaps = materialise(_with_places(gaps, "rvec", axes))
-    kinds = gaps.select("p", "t").distinct().collect()  # at most 2 ** _AXES times the number of features
-    patterns, wanted = sorted({r["p"] for r in kinds}), sorted({r["t"] for r in kinds})
-    layouts = {p: _layout(axes, tuple(i for i in range(len(axes)) if p >> i & 1), n_rows) for p in patterns}
+    placed = materialise(_with_places(placed, "vec", axes, used))
+    gaps = _with_places(gaps, "rvec", axes, used)
 
     filled = None
     if kinds:
@@ -134,40 +144,51 @@ def knn_impute(
         nearest = Window.partitionBy("rid", "t").orderBy("dist", "id")
         chosen = pairs.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
         filled = chosen.groupBy("rid").agg(
-            *[F.avg(F.when(F.col("t") == i, F.col("donated"))).alias(f"f{i}") for i in range(width)]
-        )
-    joined = df if filled is None else df.join(filled, q(key) == F.col("rid"), "left")
-    found = {i: F.lit(None) if filled is None else F.col(f"f{i}") for i in range(width)}
+            *[F.avg(F.when(F.col("t") == i, F.col("donated"))).alias(f"__fill{i}") for i in range(width)]
+        ).withColumnRenamed("rid", "__rid")
+    joined = df if filled is None else df.join(filled, q(key) == F.col("__rid"), "left")
+    found = {i: F.lit(None) if filled is None else F.col(f"__fill{i}") for i in range(width)}
     complete = joined.withColumns(
         {f: F.coalesce(q(f).cast("double"), found[i], F.lit(means[f])).cast("double") for i, f in enumerate(features)}
     )
-    return complete.drop("rid", *[f"f{i}" for i in range(width)])
+    return complete.drop("__rid", *[f"__fill{i}" for i in range(width)])
 
 
 def _survey(pool: DataFrame, features: list[str]) -> tuple[dict[str, float | None], list[_Axis], int]:
-    """Column means, grid axes and row count: a handful of numbers from one aggregate and one quantile sketch."""
+    """Column means, possible grid axes from the widest down, and the row count, from one aggregate."""
     row = pool.agg(
         F.count("*").alias("n"),
         *[f(q(c)).alias(f"{name}{i}") for i, c in enumerate(features) for name, f in (("m", F.avg), ("s", F.stddev_pop))],
     ).first()
     spreads = [(row[f"s{i}"] or 0.0, i) for i in range(len(features))]
-    axes = [_Axis(i, s) for s, i in sorted(spreads, key=lambda pair: (-pair[0], pair[1])) if s > 0][:_AXES]
-    if axes:
-        probs = [i / _CUTS for i in range(_CUTS + 1)]
-        cuts = pool.approxQuantile([features[a.position] for a in axes], probs, 1 / (4 * _CUTS))
-        for axis, found in zip(axes, cuts):
-            axis.cuts = sorted(set(found))  # spread above zero: at least two cut points
+    axes = [_Axis(i, s) for s, i in sorted(spreads, key=lambda pair: (-pair[0], pair[1])) if s > 0]
     return {c: row[f"m{i}"] for i, c in enumerate(features)}, axes, row["n"]
 
 
-def _with_places(rows: DataFrame, vec: str, axes: list[_Axis]) -> DataFrame:
-    """Adds ``a<i>``, the place on every axis."""
-    return rows.withColumns({f"a{i}": x.place(F.get(F.col(vec), F.lit(x.position))) for i, x in enumerate(axes)})
+def _layouts(
+    pool: DataFrame, features: list[str], axes: list[_Axis], patterns: list[tuple[int, ...]], n_rows: int
+) -> dict[str, _Layout]:
+    """A layout per gap pattern; cut points of all axes in use come from one quantile sketch."""
+    used = sorted({i for p in patterns for i in p})
+    if used:
+        probs = [i / _CUTS for i in range(_CUTS + 1)]
+        cuts = pool.approxQuantile([features[axes[i].position] for i in used], probs, 1 / (4 * _CUTS))
+        for i, found in zip(used, cuts):
+            axes[i].cuts = sorted(set(found))  # spread above zero: at least two cut points
+    return {",".join(map(str, p)): _layout(axes, p, n_rows) for p in patterns}
+
+
+def _with_places(rows: DataFrame, vec: str, axes: list[_Axis], used: list[int]) -> DataFrame:
+    """Adds ``a<i>``, the place on every axis in use."""
+    return rows.withColumns({f"a{i}": axes[i].place(F.get(F.col(vec), F.lit(axes[i].position))) for i in used})
 
 
-def _home(i: int, layout: _Layout) -> Column:
-    """Cell number on one axis; a constant for an axis the layout does not use."""
-    return _cell(F.col(f"a{i}"), layout.slices[i]) if i in layout.used else F.lit(_UNUSED)
+def _home(j: int, layout: _Layout) -> Column:
+    """Cell number on the grid's ``j``-th axis; a constant when it has fewer."""
+    if j >= len(layout.used):
+        return F.lit(_UNUSED)
+    i = layout.used[j]
+    return _cell(F.col(f"a{i}"), layout.slices[i])
 
 
 def _coarse(layout: _Layout) -> Column:
@@ -177,7 +198,7 @@ def _coarse(layout: _Layout) -> Column:
     return F.coalesce(F.col(f"a{layout.used[0]}")["interval"], F.lit(_NULL_CELL))
 
 
-def _by_pattern(layouts: dict[int, _Layout], build) -> Column:
+def _by_pattern(layouts: dict[str, _Layout], build) -> Column:
     """The expression built for the row's own pattern."""
     chain = None
     for p, layout in layouts.items():
@@ -197,37 +218,34 @@ def _distance(width: int) -> Column:
 
 
 def _candidates(
-    gaps: DataFrame, placed: DataFrame, axes: list[_Axis], layouts: dict[int, _Layout], wanted: list[int], k: int,
+    gaps: DataFrame, placed: DataFrame, axes: list[_Axis], layouts: dict[str, _Layout], wanted: list[int], k: int,
     width: int,
 ) -> DataFrame:
     """``rid, t, id, dist, donated`` of every pair that can be among the ``k`` nearest."""
-    cells = [f"g{i}" for i in range(len(axes))]
+    cells = [f"g{j}" for j in range(_AXES)]
     spots = F.array(
         *[
             F.struct(
                 F.lit(p).alias("p"),
                 _coarse(layout).alias("coarse"),
-                *[_home(i, layout).alias(n) for i, n in enumerate(cells)],
+                *[_home(j, layout).alias(n) for j, n in enumerate(cells)],
             )
             for p, layout in layouts.items()
         ]
     )
     grid = placed.select("id", "vec", F.inline(spots))
     bounds = _bounds(gaps, grid, placed, layouts, cells, wanted, k, width)
-    bounded = materialise(gaps.join(bounds, ["rid", "t"], "left"))
+    bounded = materialise(gaps.select("rid", "t", "rvec", "p").join(bounds, ["rid", "t"], "left"))
 
     near = bounded.where(F.col("bound").isNotNull())
     slack = F.col("bound") * _SLACK
-    values = [F.get(F.col("rvec"), F.lit(axis.position)) for axis in axes]
-    near = near.withColumns(
-        {
-            name: axis.place(value)
-            for i, axis in enumerate(axes)
-            for name, value in ((f"from{i}", values[i] - slack), (f"to{i}", values[i] + slack))
-        }
-    )
-    for i, name in enumerate(cells):
-        near = near.withColumn(name, F.explode(_by_pattern(layouts, lambda layout, i=i: _reach(i, layout))))
+    ends = {}
+    for i in sorted({i for layout in layouts.values() for i in layout.used}):
+        value = F.get(F.col("rvec"), F.lit(axes[i].position))
+        ends |= {f"from{i}": axes[i].place(value - slack), f"to{i}": axes[i].place(value + slack)}
+    near = near.withColumns(ends)
+    for j, name in enumerate(cells):
+        near = near.withColumn(name, F.explode(_by_pattern(layouts, lambda layout, j=j: _reach(j, axes, layout))))
     joined = near.join(grid.drop("coarse"), ["p", *cells])
     columns = ["rid", "t", "id", "rvec", "vec", "bound"]
     joined = joined.select(*columns)
@@ -242,12 +260,12 @@ def _candidates(
     return pairs.where(F.col("dist").isNotNull() & within).drop("bound")
 
 
-def _reach(i: int, layout: _Layout) -> Column:
-    """Cells of one axis that may hold a donor within the bound, the NULL cell included."""
-    if i not in layout.used:
+def _reach(j: int, axes: list[_Axis], layout: _Layout) -> Column:
+    """Cells of the grid's ``j``-th axis that may hold a donor within the bound, the NULL cell included."""
+    if j >= len(layout.used):
         return F.array(F.lit(_UNUSED))
-    slices = layout.slices[i]
-    span = F.sequence(_cell(F.col(f"from{i}"), slices), _cell(F.col(f"to{i}"), slices))
+    slices = layout.slices[layout.used[j]]
+    span = F.sequence(_cell(F.col(f"from{layout.used[j]}"), slices), _cell(F.col(f"to{layout.used[j]}"), slices))
     return F.concat(F.array(F.lit(_NULL_CELL)), span)
 
 
@@ -258,7 +276,7 @@ def _with_feature(placed: DataFrame, wanted: list[int]) -> DataFrame:
 
 
 def _bounds(
-    gaps: DataFrame, grid: DataFrame, placed: DataFrame, layouts: dict[int, _Layout], cells: list[str],
+    gaps: DataFrame, grid: DataFrame, placed: DataFrame, layouts: dict[str, _Layout], cells: list[str],
     wanted: list[int], k: int, width: int,
 ) -> DataFrame:
     """``rid, t, bound``: a distance within which ``k`` donors of feature ``t`` lie; absent when seeds do not suffice."""
@@ -271,7 +289,7 @@ def _bounds(
     rows = gaps.select(
         "rid", "t", "rvec", "p",
         _by_pattern(layouts, _coarse).alias("coarse"),
-        *[_by_pattern(layouts, lambda layout, i=i: _home(i, layout)).alias(n) for i, n in enumerate(cells)],
+        *[_by_pattern(layouts, lambda layout, j=j: _home(j, layout)).alias(n) for j, n in enumerate(cells)],
     )
     sources = [
         (seeds(grid, ["p", *cells]), ["p", *cells, "t"]),

@@ -63,6 +63,17 @@ def test_knn_matches_brute_force(spark, kind, n):
         assert got[key] == pytest.approx(want[key], rel=1e-9), key
 
 
+def test_knn_with_many_gap_patterns(spark):
+    """Rows that lack the widest features, and more patterns than grids."""
+    rng = random.Random(12)
+    names = [f"f{i}" for i in range(7)]
+    rows = [(i, *[None if rng.random() < 0.45 else rng.gauss(0, 3.0**j) for j in range(7)]) for i in range(250)]
+    df = spark.createDataFrame(rows, "id bigint, " + ", ".join(f"{n} double" for n in names)).repartition(3)
+    got = {r["id"]: [r[n] for n in names] for r in neighbours.knn_impute(df, names, "id", k=3).collect()}
+    want = brute(rows, rows, k=3)
+    assert got.keys() == want.keys() and all(got[i] == pytest.approx(want[i], rel=1e-9) for i in want)
+
+
 def test_knn_with_separate_donors(spark):
     rng = random.Random(1)
     donors, rows = made("sparse", 200, rng), [(9000 + i, *r[1:]) for i, r in enumerate(made("patchy", 40, rng))]
