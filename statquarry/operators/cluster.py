@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import vector_to_array
@@ -12,22 +11,33 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from statquarry.session import materialise
+
 
 def _fit(points: DataFrame, k: int, seed: int, features: str, max_iter: int) -> KMeansModel:
     return KMeans(k=k, seed=seed, featuresCol=features, predictionCol="cluster", maxIter=max_iter).fit(points)
 
 
+def _best(points: DataFrame, k: int, n_init: int, seed: int, features: str, max_iter: int) -> KMeansModel:
+    fits = (_fit(points, k, seed + i, features, max_iter) for i in range(n_init))
+    return min(fits, key=lambda model: model.summary.trainingCost)
+
+
+def _stored(points: DataFrame, features: str, stored: bool) -> DataFrame:
+    """The vectors, written once for several fits.
+
+    Not cached as a DataFrame: a fit keeps its own decoded copy of an uncached input, which its iterations read faster.
+    """
+    return points if stored else materialise(points.select(features))
+
+
 def best_kmeans(
-    points: DataFrame, k: int, n_init: int = 10, seed: int = 42, features: str = "features", max_iter: int = 100
+    points: DataFrame, k: int, n_init: int = 10, seed: int = 42, features: str = "features", max_iter: int = 100,
+    stored: bool = False,
 ) -> KMeansModel:
-    """The fit with the least inertia out of ``n_init`` seeded starts over one kept copy of the vectors."""
-    kept = points if points.is_cached else points.select(features).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        fits = [_fit(kept, k, seed + i, features, max_iter) for i in range(n_init)]
-    finally:
-        if kept is not points:
-            kept.unpersist()
-    return min(fits, key=lambda model: model.summary.trainingCost)
+    """The fit with the least inertia out of ``n_init`` seeded starts.  ``stored``: ``points`` is cheap to read again."""
+    kept = _stored(points, features, stored or n_init == 1)
+    return _best(kept, k, n_init, seed, features, max_iter)
 
 
 def total_inertia(points: DataFrame, features: str = "features") -> float:
@@ -45,17 +55,15 @@ def elbow(
     seed: int = 42,
     features: str = "features",
     max_iter: int = 100,
+    stored: bool = False,
 ) -> DataFrame:
-    """``k, inertia``, one row per tried ``k``.  The matrix is kept for the whole sweep and then let go."""
-    kept = points.select(features).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        rows = [
-            (k, total_inertia(kept, features) if k == 1
-             else float(best_kmeans(kept, k, n_init, seed, features, max_iter).summary.trainingCost))
-            for k in k_range
-        ]
-    finally:
-        kept.unpersist()
+    """``k, inertia``, one row per tried ``k``."""
+    kept = _stored(points, features, stored)
+    rows = [
+        (k, total_inertia(kept, features) if k == 1
+         else float(_best(kept, k, n_init, seed, features, max_iter).summary.trainingCost))
+        for k in k_range
+    ]
     return points.sparkSession.createDataFrame(rows, "k int, inertia double")
 
 

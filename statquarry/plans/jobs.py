@@ -164,14 +164,11 @@ def cluster_entities(
     df = df.withColumns({c: unsentinel(shape.q(c)) for c in categories})
     model = prepare.feature_pipeline(df, numeric, categories)
     prepared = model.transform(df)
-    prepared = prepared.drop(*prepare.helper_columns(prepared)).persist()
-    try:
-        cluster.check_k(k, prepared.count())
-        table = cluster.elbow(prepared, k_range, sweep_starts, seed, max_iter=max_iter) if k_range else None
-        fitted = cluster.best_kmeans(prepared, k, n_init, seed, max_iter=max_iter)
-        pca = cluster.CentredPCA(prepared)
-    finally:
-        prepared.unpersist()
+    prepared = materialise(prepared.drop(*prepare.helper_columns(prepared)))  # read by every fit below
+    cluster.check_k(k, prepared.count())
+    table = cluster.elbow(prepared, k_range, sweep_starts, seed, max_iter=max_iter, stored=True) if k_range else None
+    fitted = cluster.best_kmeans(prepared, k, n_init, seed, max_iter=max_iter, stored=True)
+    pca = cluster.CentredPCA(prepared)
     assigned = cluster.assign_clusters(prepared, fitted)
     points = pca.transform(assigned).select("pca1", "pca2", "cluster", shape.q(entity))
     return Clustering(model, table, assigned.drop("features"), points, pca.explained)
