@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statquarry.llm import substring_dedup
+from statquarry.llm import substring_dedup, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -46,3 +46,32 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cut = substring_dedup.remove_repeated_words(table(spark, folder, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query(
+    "op4_suffix_dedup",
+    """
+    WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+    win AS (SELECT doc_id, i, md5(b[i:i + 399]) AS s
+            FROM (SELECT doc_id, b, unnest(range(1, octet_length(b) - 398)) AS i FROM d)),
+    twice AS (SELECT s FROM win GROUP BY s HAVING count(*) > 1),
+    hit AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM win SEMI JOIN twice USING (s)),
+    run AS (SELECT doc_id, i, sum(CASE WHEN before IS NULL OR i > before + 400 THEN 1 ELSE 0 END)
+                   OVER (PARTITION BY doc_id ORDER BY i) AS run FROM hit),
+    span AS (SELECT doc_id, min(i) AS low, max(i) + 400 AS high FROM run GROUP BY doc_id, run),
+    gap AS (SELECT doc_id, b, unnest(list_concat([1], highs)) AS low, unnest(list_concat(lows, [octet_length(b) + 1])) AS high
+            FROM d JOIN (SELECT doc_id, list(low ORDER BY low) AS lows, list(high ORDER BY low) AS highs FROM span
+                         GROUP BY doc_id) USING (doc_id)),
+    left_over AS (SELECT doc_id, unhex(string_agg(CASE WHEN high > low THEN hex(b[low:high - 1]) ELSE '' END, '' ORDER BY low))
+                         AS kept FROM gap GROUP BY doc_id),
+    removed AS (SELECT doc_id, sum(high - low)::BIGINT AS n, count(*) AS spans FROM span GROUP BY doc_id)
+    SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_removed,
+           coalesce(spans, 0)::BIGINT AS n_spans, sha256(coalesce(kept, b)) AS kept_sha256
+    FROM d LEFT JOIN left_over USING (doc_id) LEFT JOIN removed USING (doc_id)""",
+)
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeated_bytes(table(spark, folder, "documents"))
+    return cut.select(
+        "doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
