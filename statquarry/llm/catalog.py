@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statquarry.llm import substring_dedup, suffix_dedup
+from statquarry.llm import simhash, substring_dedup, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -75,3 +75,9 @@ def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query("op8_simhash_dedup")
+def op8_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_copies(table(spark, folder, "documents"), shingle=3, bits=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
