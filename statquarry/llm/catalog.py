@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statquarry.llm import simhash, substring_dedup, suffix_dedup
+from statquarry.llm import packing, simhash, substring_dedup, suffix_dedup, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -24,6 +25,9 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+TOKENIZER = "word_bpe_49k.json"
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -81,3 +85,14 @@ def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op8_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_copies(table(spark, folder, "documents"), shingle=3, bits=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op1_token_counts")
+def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    counted = tokens.count_tokens(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
+@query("op10_best_fit_packing")
+def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER), capacity=4096, end=1)
