@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statquarry.llm import packing, simhash, substring_dedup, suffix_dedup, tokens
+from statquarry.llm import packing, quality, simhash, substring_dedup, suffix_dedup, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -96,3 +96,9 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_best_fit_packing")
 def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER), capacity=4096, end=1)
+
+
+@query("op5_quality_rules")
+def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    trusted = table(spark, folder, "labels").where("quality = 1").select("doc_id")
+    return quality.quality(table(spark, folder, "documents"), trusted)
