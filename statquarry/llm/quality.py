@@ -53,14 +53,14 @@ def bucket_counts(texts: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
     return out
 
 
-def log_ratio(trusted: np.ndarray, corpus: np.ndarray, smoothing: float = 1.0) -> np.ndarray:
-    """Logarithm of trusted over corpus probability of each bucket; smoothed in proportion to the corpus.
+def log_ratio(trusted: np.ndarray, corpus: np.ndarray, pseudo: float = 20.0) -> np.ndarray:
+    """Logarithm of trusted over corpus probability of each bucket.
 
-    Without any trusted text all ratios are zero.
+    ``pseudo`` is added to the count of trusted texts and to the count that the corpus lets expect: a bucket that is seldom
+    seen says little, one that is often seen says what was counted.  Without any trusted text all ratios are zero.
     """
-    base = (corpus + smoothing) / (corpus + smoothing).sum()
-    weight = smoothing * len(base)
-    return np.log((trusted + weight * base) / (trusted.sum() + weight) / base)
+    expected = corpus * (trusted.sum() / max(corpus.sum(), 1))
+    return np.log((trusted + pseudo) / (expected + pseudo))
 
 
 def figures(part: pa.RecordBatch, ratio: np.ndarray) -> dict[str, np.ndarray]:
