@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statquarry.llm import packing, quality, simhash, substring_dedup, suffix_dedup, tokens
+from statquarry.llm import packing, quality, simhash, substring_dedup, suffix_dedup, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -102,3 +102,8 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     trusted = table(spark, folder, "labels").where("quality = 1").select("doc_id")
     return quality.quality(table(spark, folder, "documents"), trusted)
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
