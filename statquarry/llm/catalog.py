@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statquarry.llm import packing, quality, simhash, substring_dedup, suffix_dedup, tokens, toxicity
+from statquarry.llm import decontaminate, packing, quality, simhash, substring_dedup, suffix_dedup, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -107,3 +107,8 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_toxicity")
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op7_decontamination")
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
