@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statquarry.llm import decontaminate, packing, quality, simhash, substring_dedup, suffix_dedup, tokens, toxicity
+from statquarry.llm import decontaminate, html_text, packing, quality, simhash, substring_dedup, suffix_dedup, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -112,3 +112,8 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_decontamination")
 def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op9_html_extraction")
+def op9_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.main_texts(table(spark, folder, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
