@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statquarry.llm import decontaminate, html_text, packing, quality, simhash, substring_dedup, suffix_dedup, tokens, toxicity
+from statquarry.llm import decontaminate, html_text, packing, quality, simhash, substring_dedup, suffix_dedup, tokens, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -117,3 +117,8 @@ def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_html_extraction")
 def op9_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.main_texts(table(spark, folder, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+@query("op6_warc")
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(table(spark, folder, "pages"), least_bytes=0)
