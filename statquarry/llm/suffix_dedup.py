@@ -5,7 +5,8 @@ its windows repeat if the count is above one.  Where a gram has different spans,
 are dealt to shards by gram, and each shard sorts its suffixes by Larsson-Sadakane refinement, finds common prefixes of
 neighbours by Kasai's rule and marks the windows that share ``window`` bytes with a neighbour.  Equal windows have equal
 grams, so a gram's spans meet in one shard - unless there are too many for one.  Those are spread over several shards, and
-each shard offers its different windows of such grams as sorted hashes, in which the others' are found by binary search.
+each shard offers the names of its different windows of such grams as sorted lists, which are cut into ranges and searched
+in the merged list by binary search.
 """
 
 from __future__ import annotations
@@ -119,8 +120,12 @@ def common_prefixes(
     return out
 
 
-def _shard(rows: pa.Table, window: int) -> pa.Table:
-    """Marks of the windows that repeat in one shard; hashes of the different windows of spread grams."""
+def _shard(rows: pa.Table, window: int, lots: int) -> pa.Table:
+    """Marks of the windows that repeat in one shard.
+
+    The different windows of spread grams are offered to the other shards: their names are sorted and cut into ``lots``
+    ranges by binary search.  The shard's first row carries these lists.
+    """
     rows = rows.combine_chunks()
     content = rows.column("content").combine_chunks()
     buf, offsets = utf8(content.chunk(0) if isinstance(content, pa.ChunkedArray) else content)
@@ -142,25 +147,36 @@ def _shard(rows: pa.Table, window: int) -> pa.Table:
     lead[order[slot]] = ~with_last
     bounds = pa.array(np.append(0, np.cumsum(n)).astype(np.int32))
     hashes = Rolling(_BYTE[buf[: int(offsets[-1])]]).of(own, own + window).view(np.int64)
-    offer = lead[own] & np.repeat(spread, n)
-    taken = np.append(0, np.cumsum(offer))[np.append(0, np.cumsum(n))]
-    within = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
-    offers = pa.StructArray.from_arrays([pa.array(within[offer]), pa.array(hashes[offer])], names=["place", "window"])
-    return pa.table(
-        {
-            "gram": rows.column("gram"), "run": rows.column("run"),
-            "mask": pa.ListArray.from_arrays(bounds, pa.array(marked[own])),
-            "offers": pa.ListArray.from_arrays(pa.array(taken.astype(np.int32)), offers),
-        }
-    )
+    marks = pa.ListArray.from_arrays(bounds, pa.array(marked[own]))
+    offer = np.flatnonzero(lead[own] & np.repeat(spread, n))
+    span = np.repeat(np.arange(len(n)), n)[offer]
+    gram, run = (rows.column(name).to_numpy()[span] for name in ("gram", "run"))
+    name = mix(hashes[offer].view(np.uint64) ^ (gram.view(np.uint64) * M1))
+    order = np.argsort(name)
+    cuts = np.searchsorted(name[order] >> np.uint64(32), (np.arange(lots + 1, dtype=np.uint64) << np.uint64(32)) // np.uint64(lots))
+    table = np.column_stack([name.view(np.int64), gram, run, offer - (np.cumsum(n) - n)[span]])[order]
+    lists = [{"lot": k, "body": table[a:b].tobytes()} for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
+    kind = pa.list_(pa.struct([("lot", pa.int32()), ("body", pa.binary())]))
+    offers = pa.array([lists] + [[]] * (len(n) - 1), kind)
+    return pa.table({"gram": rows.column("gram"), "run": rows.column("run"), "mask": marks, "offers": offers})
 
 
 def _meet(rows: pa.Table) -> pa.Table:
-    """Offered windows of a range of hashes: each is searched in the sorted list of all."""
-    name = rows.column("gram").to_numpy().view(np.uint64) * M1 ^ rows.column("window").to_numpy().view(np.uint64)
-    ordered = np.sort(name)
-    number = np.searchsorted(ordered, name, side="right") - np.searchsorted(ordered, name, side="left")
-    return rows.select(["gram", "run", "place"]).filter(pa.array(number > 1))
+    """One range of the offered windows: every shard's sorted list is searched in the merged one.
+
+    Returns the places of the windows that several shards hold, by span.
+    """
+    lists = [np.frombuffer(body.as_py(), np.int64).reshape(-1, 4) for body in rows.column("body")]
+    names = [table[:, 0].copy().view(np.uint64) for table in lists]
+    merged = np.sort(np.concatenate(names), kind="stable")
+    shared = [np.searchsorted(merged, x, side="right") - np.searchsorted(merged, x, side="left") > 1 for x in names]
+    hits = np.concatenate([table[found, 1:] for table, found in zip(lists, shared)])
+    hits = hits[np.lexsort((hits[:, 1], hits[:, 0]))]
+    fresh = np.ones(len(hits), bool)
+    fresh[1:] = (hits[1:, :2] != hits[:-1, :2]).any(axis=1)
+    head = np.flatnonzero(fresh)
+    places = pa.ListArray.from_arrays(pa.array(np.append(head, len(hits)).astype(np.int32)), pa.array(hits[:, 2]))
+    return pa.table({"gram": pa.array(hits[head, 0]), "run": pa.array(hits[head, 1]), "places": places})
 
 
 def repeated_byte_spans(
@@ -186,23 +202,21 @@ def repeated_byte_spans(
             F.ceil(F.col("kinds") * F.lit(2.0 * each / shard_bytes)).cast("int").alias("parts"),
         ), "contents",
     )
-    total = drawn.agg(F.sum(F.octet_length("content"))).first()[0] or 0
-    shards = math.ceil((total + 1) / shard_bytes)
-    window = rule.window
+    total, spread = drawn.agg(
+        F.sum(F.octet_length("content")), F.sum(F.when(F.col("parts") > 1, F.col("n")))
+    ).first()
+    shards, lots, window = math.ceil(((total or 0) + 1) / shard_bytes), math.ceil(((spread or 0) + 1) / 500_000), rule.window
     marks = saved(
         drawn.withColumn("shard", F.pmod(F.xxhash64("gram", F.pmod("run", F.greatest("parts", F.lit(1)))), F.lit(shards)))
         .groupBy("shard").applyInArrow(
-            lambda rows: _shard(rows, window),
-            "gram long, run long, mask array<boolean>, offers array<struct<place: long, window: long>>",
+            lambda rows: _shard(rows, window, lots),
+            "gram long, run long, mask array<boolean>, offers array<struct<lot: int, body: binary>>",
         ), "marks",
     )
-    offers = marks.select("gram", "run", F.explode("offers").alias("offer")).select("gram", "run", "offer.*")
-    offers = saved(offers, "offers")
-    lots = math.ceil((offers.count() + 1) / 200_000)
     across = (
-        offers.withColumn("lot", F.pmod("window", F.lit(lots))).groupBy("lot")
-        .applyInArrow(lambda rows: _meet(rows), "gram long, run long, place long")
-        .groupBy("gram", "run").agg(F.collect_list("place").alias("places"))
+        marks.select(F.explode("offers").alias("offer")).select("offer.*").groupBy("lot")
+        .applyInArrow(lambda rows: _meet(rows), "gram long, run long, places array<long>")
+        .groupBy("gram", "run").agg(F.flatten(F.collect_list("places")).alias("places"))
     )
     masks = marks.join(across, ["gram", "run"], "left").select(
         "gram", "run",
