@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 SLICE_BYTES = 1 << 21
 PAD = 64
@@ -34,7 +35,8 @@ def sliced(batches: Iterable[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
 
 
 def map_slices(
-    df: DataFrame, text: str, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, limit: int = SLICE_BYTES
+    df: DataFrame, text: str, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType,
+    limit: int = SLICE_BYTES,
 ) -> DataFrame:
     """Run ``function`` on every slice of ``df``; it returns a batch of the columns of ``schema``."""
 

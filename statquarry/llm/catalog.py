@@ -111,7 +111,7 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op7_decontamination")
 def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("key")
 
 
 @query("op9_html_extraction")

@@ -22,10 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statquarry.llm.arrays import M1, Rolling, hash_slices, mix, sliced, split_words, utf8
+from statquarry.llm.storage import keyed, same_row, saved, with_key
 from statquarry.llm.tokens import texts_of
+from statquarry.session import BROADCAST_ROWS
 
 SLICE_BYTES = 1 << 20
-FOUND = "doc_id long, item_id long, start_word long, n_words long, distance int, item_words int"
+FOUND = "doc_id long, key long, item_id long, start_word long, n_words long, distance int, item_words int"
 _PLAIN = np.arange(256, dtype=np.uint8)
 _PLAIN[[b for b in range(128) if not chr(b).isalnum()]] = 32
 
@@ -176,7 +178,8 @@ class Items:
                 texts, text = np.unique(found[:, 0], return_inverse=True)
                 for number, k in enumerate(texts.tolist()):
                     own = found[text == number]
-                    waiting.append((part.column("id")[k].as_py(), hashes[first[k] : first[k + 1]], own[:, 1] - first[k], own[:, 2]))
+                    row = part.column("id")[k].as_py(), part.column("key")[k].as_py()
+                    waiting.append((row, hashes[first[k] : first[k + 1]], own[:, 1] - first[k], own[:, 2]))
                     words += int(own[:, 2].sum()) + int(first[k + 1] - first[k])
             if words > self.settings.window_words:
                 yield self._verified(waiting)
@@ -212,12 +215,12 @@ class Items:
                 if distance <= allowed and (best is None or distance < best[0]):
                     best = (distance, low + a, low + b)
             if best:
-                out.append((waiting[t][0], self.ids[item], best[1], best[2] - best[1], best[0], n))
-        columns = list(zip(*out)) if out else [[]] * 6
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+                out.append((*waiting[t][0], self.ids[item], best[1], best[2] - best[1], best[0], n))
+        columns = list(zip(*out)) if out else [[]] * 7
+        kinds = [pa.int64()] * 5 + [pa.int32()] * 2
         return pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(columns, kinds)],
-            names=["doc_id", "item_id", "start_word", "n_words", "distance", "item_words"],
+            names=["doc_id", "key", "item_id", "start_word", "n_words", "distance", "item_words"],
         )
 
 
@@ -225,15 +228,15 @@ def contaminated(
     documents: DataFrame, benchmark: DataFrame, settings: Settings = Settings(), id: str = "doc_id", text: str = "text",
     item: str = "item_id", item_text: str = "text",
 ) -> DataFrame:
-    """One row for each document and benchmark item of which it holds a passage: (doc_id, item_id, start_word, n_words,
-    distance, item_words), the nearest passage if there are several.
+    """One row for each document and benchmark item of which it holds a passage: (doc_id, key, item_id, start_word, n_words,
+    distance, item_words), the nearest passage if there are several; ``key`` is a hash of the document's text.
 
     Words are compared in lower case, ASCII signs part them.  A passage counts if at most ``edits`` of the item's words
     (rounded down) must be inserted, deleted or replaced.  Null texts are empty; items without words (or a null id) match
     nothing; equal rows and items give equal rows.  Items are taken in blocks of ``block_items``, each sent to all tasks, so
     a larger benchmark costs more passes, not more memory.
     """
-    texts = texts_of(documents, id, text)
+    texts = keyed(documents, id, text)
     items = texts_of(benchmark, item, item_text).where("id IS NOT NULL")
     blocks = max(1, -(-items.count() // settings.block_items))
     out = None
@@ -243,3 +246,15 @@ def contaminated(
         found = texts.mapInArrow(lambda batches, held=held: held.value.matches(batches), FOUND)
         out = found if out is None else out.union(found)
     return out
+
+
+def without_contaminated(
+    documents: DataFrame, benchmark: DataFrame, settings: Settings = Settings(), id: str = "doc_id", text: str = "text",
+    item: str = "item_id", item_text: str = "text",
+) -> DataFrame:
+    """The documents that hold no passage of a benchmark item, with all their columns."""
+    found = contaminated(documents, benchmark, settings, id, text, item, item_text)
+    found = saved(found.select(F.col("doc_id").alias("id"), "key").distinct(), "contaminated")
+    held = F.broadcast(found) if found.count() <= BROADCAST_ROWS else found
+    rows = with_key(documents, id, text)
+    return rows.join(held, same_row(rows, held), "left_anti").select(*[F.col(f"`{c}`") for c in documents.columns])

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from statquarry.llm.arrays import join_words, map_slices, split_words, utf8
 from statquarry.llm.components import connected
-from statquarry.llm.storage import keyed, saved
+from statquarry.llm.storage import ID, KEY, keyed, saved, with_key
 from statquarry.session import splittable_join
 
 BYTES, BITS = 8, 3
@@ -196,7 +196,7 @@ def links(prints: DataFrame, bits: int = BITS, long_list: int = LONG_LIST) -> Da
 def near_copies(
     documents: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 3, bits: int = BITS
 ) -> DataFrame:
-    """One row (doc_id, key, print, component_id) for each document.
+    """One row (doc_id, key, print, root, component_id) for each document; ``root`` names the component.
 
     Words are runs of characters other than blank and 0x09-0x0D, with A-Z in lower case; ``component_id`` is the smallest
     id among all documents reachable by links of ``bits`` differing bits at most, itself included.  A text with fewer words
@@ -210,6 +210,22 @@ def near_copies(
         "print", "low", F.coalesce("b", "print").alias("root")
     )
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = splittable_join(rooted, lowest, ["root"]).select("print", "component_id")
+    named = splittable_join(rooted, lowest, ["root"]).select("print", "root", "component_id")
     joined = splittable_join(found, named, ["print"])
-    return joined.select(F.col("id").alias("doc_id"), "key", "print", "component_id")
+    return joined.select(F.col("id").alias("doc_id"), "key", "print", "root", "component_id")
+
+
+def one_of_each(
+    documents: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 3, bits: int = BITS
+) -> DataFrame:
+    """One document of each component, with all its columns: that of the smallest id, then of the smallest text hash.
+
+    Of rows that are equal in id and text one stays.  A null id counts as larger than any other.
+    """
+    last = (1 << 63) - 1
+    stay = near_copies(documents, id, text, shingle, bits).groupBy("root").agg(
+        F.min(F.struct(F.coalesce("doc_id", F.lit(last)).alias("id"), "key")).alias("stay")
+    ).select("stay.*")
+    rows = with_key(documents, id, text).withColumn(ID, F.coalesce(F.col(ID), F.lit(last)))
+    kept = rows.join(stay, (rows[ID] == stay["id"]) & (rows[KEY] == stay["key"]), "left_semi")
+    return kept.dropDuplicates([ID, KEY]).select(*[F.col(f"`{c}`") for c in documents.columns])

@@ -33,6 +33,20 @@ def keyed(documents: DataFrame, id: str, text: str) -> DataFrame:
     return documents.select(F.col(f"`{id}`").cast("long").alias("id"), body.alias("text"), F.xxhash64(body).alias("key"))
 
 
+ID, KEY = "statquarry id", "statquarry key"  # names that no table is likely to have
+
+
+def with_key(documents: DataFrame, id: str, text: str) -> DataFrame:
+    """All columns, and id and key as ``keyed`` gives them, under the names ``ID`` and ``KEY``."""
+    body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    return documents.withColumns({ID: F.col(f"`{id}`").cast("long"), KEY: F.xxhash64(body)})
+
+
+def same_row(rows: DataFrame, found: DataFrame) -> Column:
+    """Join condition of ``with_key`` rows with a table that has id and key."""
+    return rows[ID].eqNullSafe(found["id"]) & (rows[KEY] == found["key"])
+
+
 def matches(left: DataFrame, right: DataFrame) -> Column:
     """Join condition on id and key; a null id equals a null id."""
     return left["id"].eqNullSafe(right["id"]) & (left["key"] == right["key"])

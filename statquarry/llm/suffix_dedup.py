@@ -20,12 +20,13 @@ from pyspark.sql import functions as F
 
 from statquarry.llm.arrays import M1, PAD, Rolling, as_binary, lanes, map_slices, mix, ranges, utf8
 from statquarry.llm.repeats import Rule, Spans, contents, distinct_spans, occurrences
-from statquarry.llm.storage import keyed, matches, saved
+from statquarry.llm.storage import keyed, matches, same_row, saved, with_key
 from statquarry.llm.substring_dedup import covered
 from statquarry.session import splittable_join
 
 RULE = Rule(window=400, gram=64, slice_bytes=1 << 19)
 SHARD_BYTES = 1 << 20
+SPANS = "statquarry spans"
 _HIGH = np.array([(1 << 64) - (1 << (64 - 8 * k)) for k in range(9)], np.uint64)  # the first k of eight bytes
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * M1)
 
@@ -256,3 +257,32 @@ def remove_repeated_bytes(
 
     schema = "doc_id long, n_bytes long, n_removed long, kept binary, removed array<struct<start: long, end: long>>"
     return map_slices(joined, "text", cut, schema, rule.slice_bytes)
+
+
+def without_repeats(
+    documents: DataFrame, id: str = "doc_id", text: str = "text", rule: Rule = RULE, shard_bytes: int = SHARD_BYTES
+) -> DataFrame:
+    """All documents with all their columns, the repeated strings cut out of their texts.
+
+    Where a cut parts a character, its remaining bytes go too.  A text without repeats stays as it is, a null too.
+    """
+    rows, spans = with_key(documents, id, text), repeated_byte_spans(documents, id, text, rule, shard_bytes)
+    joined = rows.join(spans, same_row(rows, spans), "left").select(*[rows[f"`{c}`"] for c in documents.columns], spans["spans"])
+    joined = joined.toDF(*documents.columns, SPANS)
+
+    def cut(part: pa.RecordBatch) -> pa.RecordBatch:
+        found = part.column(SPANS)
+        touched = found.is_valid().to_numpy(zero_copy_only=False)
+        old = part.column(text)
+        if touched.any():
+            buf, offsets = utf8(old)
+            marked = covered(found, offsets, rule.window)
+            new = old.to_pylist()
+            for k in np.flatnonzero(touched).tolist():
+                a, b = int(offsets[k]), int(offsets[k + 1])
+                new[k] = buf[a:b][~marked[a:b]].tobytes().decode("utf-8", "ignore")
+            part = part.set_column(part.schema.get_field_index(text), text, pa.array(new, old.type))
+        return part.select(columns)
+
+    columns = documents.columns
+    return map_slices(joined, text, cut, documents.schema, rule.slice_bytes)

@@ -228,3 +228,17 @@ def toxicity(
     scored = map_slices(texts_of(documents, id, text), "text", run, "doc_id long, score double", SLICE_BYTES)
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def without_toxic(
+    documents: DataFrame, labels: DataFrame, settings: Settings = Settings(), threshold: float = 0.5, id: str = "doc_id",
+    text: str = "text", label: str = "toxic",
+) -> DataFrame:
+    """The documents that score below ``threshold``, with all their columns and without a shuffle."""
+    model = train(*labelled(documents, labels, settings, id, text, label), settings)
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+
+    def run(part: pa.RecordBatch) -> pa.RecordBatch:
+        return part.filter(pa.array(shared.value.scores(part.column(text)) < threshold))
+
+    return map_slices(documents, text, run, documents.schema, SLICE_BYTES)
