@@ -30,8 +30,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 class Settings:
     """``max_toxic`` and ``max_clean`` bound the labelled documents that are learned from."""
 
-    max_toxic: int = 4000
-    max_clean: int = 8000
+    max_toxic: int = 2000
+    max_clean: int = 7000
     bits: int = 18
     size: int = 16
     shortest: int = 3
@@ -110,42 +110,42 @@ def train(texts: list[str], toxic: np.ndarray, settings: Settings = Settings())
     if not len(toxic) or toxic.min() == toxic.max():
         share = (toxic.sum() + 0.01) / (len(toxic) + 1)
         return Model(np.zeros(1 << settings.bits, np.float32), float(np.log(share / (1 - share))), settings)
-    buf, offsets = utf8(pa.array(texts, pa.large_string()))
-    line, blank, first = bordered(buf, offsets)
-    names = hash_slices(line, blank + 1, np.append(blank[1:], len(line) - PAD - 1))
-    _, place, word = np.unique(names, return_index=True, return_inverse=True)
-    doc = np.repeat(np.arange(len(texts)), np.diff(first))
-    pairs = np.unique(doc.astype(np.int64) << 32 | word)  # different words of every text
-    doc, word = pairs >> 32, (pairs & 0xFFFFFFFF).astype(np.int64)
+    line, blank, first = bordered(*utf8(pa.array(texts, pa.large_string())))
+    size = np.diff(np.append(blank, len(line) - PAD - 1))
+    _, place, word = np.unique(hash_slices(line, blank + 1, blank + size), return_index=True, return_inverse=True)
+    pairs = np.unique(np.repeat(np.arange(len(texts)), np.diff(first)) << 32 | word)  # different words of every text
+    doc, word = (pairs >> 32).astype(np.int32), (pairs & 0xFFFFFFFF).astype(np.int32)
+    del pairs
     head = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
     label = toxic[doc[head]]
-    # bags of the different words
-    only = np.concatenate([line[a : b] for a, b in zip(blank[place].tolist(), np.append(blank[1:], len(line) - PAD - 1)[place].tolist())])
-    size = np.append(blank[1:], len(line) - PAD - 1)[place] - blank[place]
+    slot = np.repeat(np.arange(len(head), dtype=np.int32), np.diff(np.append(head, len(doc))))
+    # bags of the different words: table rows and word numbers, one pair of columns for each n-gram length
+    size = size[place]
     at = np.cumsum(size) - size
-    only = np.concatenate([only, np.full(1 + PAD, 32, np.uint8)])
-    of = np.repeat(np.arange(len(place)), size)
-    rows, bags = zip(*[(r[i], of[i]) for r, i in grams(only, at, settings)])
-    rows, bags = np.concatenate(rows), np.concatenate(bags)
-    count = np.bincount(bags, minlength=len(place))
-    share = (1 / count[bags]).astype(np.float32)
+    only = np.full(int(size.sum()) + 1 + PAD, 32, np.uint8)
+    only[: int(size.sum())] = line[np.repeat(blank[place] - at, size) + np.arange(int(size.sum()))]
+    of = np.repeat(np.arange(len(place), dtype=np.int32), size)
+    bags = [(rows[inside], of[inside]) for rows, inside in grams(only, at, settings)]
+    del line, only, of
+    count = sum(np.bincount(words, minlength=len(place)) for _, words in bags)
     draw = np.random.default_rng(settings.seed)
     table = (draw.standard_normal((1 << settings.bits, settings.size)) / settings.size).astype(np.float32)
     out = (draw.standard_normal((settings.size, 2)) / settings.size).astype(np.float32)
     bias = np.zeros(2, np.float32)
     seen = [np.full_like(x, 1e-6) for x in (table, out, bias)]
-    with_toxic = np.bincount(word, weights=label[np.cumsum(np.append(0, doc[1:] != doc[:-1]))], minlength=len(place))
+    with_toxic = np.bincount(word, weights=label[slot], minlength=len(place))
     with_any = np.bincount(word, minlength=len(place))
     one, zero = with_toxic / label.sum(), (with_any - with_toxic) / (1 - label).sum()
-    slot = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(doc))))
 
-    def word_logits(rows: np.ndarray, bags: np.ndarray, share: np.ndarray, words: int) -> np.ndarray:
+    def word_logits(bags: list, count: np.ndarray) -> np.ndarray:
         value = table @ (out[:, 1] - out[:, 0])
-        return np.bincount(bags, weights=value[rows] * share, minlength=words) + (bias[1] - bias[0])
+        total = sum(np.bincount(words, weights=value[rows], minlength=len(count)) for rows, words in bags)
+        return total / count + (bias[1] - bias[0])
 
-    def descend(error: np.ndarray, rows: np.ndarray, bags: np.ndarray, share: np.ndarray) -> None:
+    def descend(error: np.ndarray, bags: list, count: np.ndarray) -> None:
         """One AdaGrad step along the gradient of the loss by every word's log odds."""
-        by_row = np.bincount(rows, weights=error[bags] * share, minlength=len(table)).astype(np.float32)
+        part = error / count
+        by_row = sum(np.bincount(rows, weights=part[words], minlength=len(table)) for rows, words in bags).astype(np.float32)
         moved = np.flatnonzero(by_row)
         by_row = by_row[moved]
         grad_out = by_row @ table[moved]
@@ -159,33 +159,33 @@ def train(texts: list[str], toxic: np.ndarray, settings: Settings = Settings())
             x[place] -= settings.rate * grad / np.sqrt(past[place])
 
     for _ in range(settings.first_rounds):
-        odds = 1 / (1 + np.exp(-word_logits(rows, bags, share, len(place))))
-        descend(odds * (one + zero) - one, rows, bags, share)
+        odds = 1 / (1 + np.exp(-word_logits(bags, count)))
+        descend(odds * (one + zero) - one, bags, count)
     for x in seen:
         x[...] = 1e-6
     for turn in range(settings.rounds):
         if turn % settings.refresh == 0:
             # the most toxic words of every document, and their bags
-            own = word_logits(rows, bags, share, len(place))[word]
+            own = word_logits(bags, count)[word]
             order = np.lexsort((-own, slot))
             near = order[np.arange(len(order)) - head[slot] < settings.looked_at]
-            number = np.full(len(place), -1)
-            number[np.unique(word[near])] = np.arange(len(np.unique(word[near])))
-            some = np.flatnonzero(number[bags] >= 0)
-            subset = rows[some], number[bags[some]], share[some]
-            words, at_doc, few = number[word[near]], slot[near], int(number.max()) + 1
+            chosen = np.unique(word[near])
+            number = np.full(len(place), -1, np.int32)
+            number[chosen] = np.arange(len(chosen))
+            some = [(rows[kept], number[words[kept]]) for rows, words in bags for kept in [number[words] >= 0]]
+            words, at_doc, few = number[word[near]], slot[near], count[chosen]
             begin = np.flatnonzero(np.append(True, at_doc[1:] != at_doc[:-1]))
-        own = word_logits(*subset, few)[words]
+        own = word_logits(some, few)[words]
         best = np.maximum.reduceat(own, begin)[at_doc]
         # the most toxic word decides; clean documents answer for all words that come near it or above even odds
         counts = (own >= best - 1e-9) | (label[at_doc] == 0) & ((own >= best - 1.0) | (own > 0))
         error = np.where(counts, 1 / (1 + np.exp(-own)) - label[at_doc], 0.0) / len(head)
-        descend(np.bincount(words, weights=error, minlength=few), *subset)
-    used = np.unique(rows)
+        descend(np.bincount(words, weights=error, minlength=len(few)), some, few)
+    used = np.zeros(len(table), bool)
+    for rows, _ in bags:
+        used[rows] = True
     value = table @ (out[:, 1] - out[:, 0])
-    unused = np.ones(len(table), bool)
-    unused[used] = False
-    value[unused] = 0  # n-grams never seen say nothing
+    value[~used] = 0  # n-grams never seen say nothing
     return Model(value.astype(np.float32), float(bias[1] - bias[0]), settings)
 
 
