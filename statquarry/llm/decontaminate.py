@@ -58,14 +58,14 @@ def words_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 def keys(windows: np.ndarray, size: np.ndarray, settings: Settings) -> np.ndarray:
     """LSH keys, one column each.  ``windows`` holds word hashes (rows filled up by zero) of ``size`` words."""
-    draw = np.random.default_rng(settings.seed)
-    steps = 3 * windows.shape[1]
+    steps = 2 * windows.shape[1]
     out = np.empty((len(windows), settings.walks * settings.samples), np.uint64)
     row = np.arange(len(windows))
     padded = np.column_stack([windows, np.zeros(len(windows), np.uint64)])
     for walk in range(settings.walks):
-        salt = draw.integers(1, 1 << 63, steps, dtype=np.uint64)
-        at = draw.random((settings.samples, settings.places))
+        # both sides draw the same, however wide their tables are
+        salt = mix(np.arange(1, steps + 1, dtype=np.uint64) * M1 + np.uint64(settings.seed * 1000 + walk << 32))
+        at = np.random.default_rng([settings.seed, walk]).random((settings.samples, settings.places))
         seen = np.empty((steps, len(windows)), np.uint64)
         place = np.zeros(len(windows), np.int64)
         for step in range(steps):
