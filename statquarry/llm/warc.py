@@ -151,6 +151,9 @@ class _Bytes:
     def step(self, n: int) -> None:
         self.held, self.at = self.held[n:], self.at + n
 
+    def seek(self, at: int) -> None:
+        self.held, self.at = self.held[at - self.at :] if at >= self.at else b"", at
+
 
 class _Inflated:
     """The same over concatenated gzip members, decoded as far as it is read."""
@@ -162,17 +165,31 @@ class _Inflated:
         parts, have = [self.held], len(self.held)
         while have < n:
             data = self.raw.peek(BLOCK)
-            if not data:
+            if not data and self.inflate is None:
                 break
-            self.inflate = self.inflate or zlib.decompressobj(31)
-            parts.append(self.inflate.decompress(data))
+            parts.append(self._more(data, n - have))
             have += len(parts[-1])
-            self.raw.step(len(data) - len(self.inflate.unused_data))
-            if self.inflate.eof:
-                self.inflate = None
+            if not data and not parts[-1]:
+                break
         self.held = b"".join(parts)
         return self.held[:n]
 
+    def _more(self, data: bytes, most: int) -> bytes:
+        """Decode no further than ``most`` bytes, within one member."""
+        self.inflate = self.inflate or zlib.decompressobj(31)
+        out = self.inflate.decompress(data, most)
+        left = self.inflate.unused_data if self.inflate.eof else self.inflate.unconsumed_tail
+        self.raw.step(len(data) - len(left))
+        if self.inflate.eof:
+            self.inflate = None
+        return out
+
+    def at_member(self) -> bool:
+        """Whether the next byte is a member's first; the end of a member that was read whole is taken."""
+        if not self.held and self.inflate is not None:
+            self.held = self._more(self.raw.peek(BLOCK), 1)
+        return not self.held and self.inflate is None
+
     def step(self, n: int) -> None:
         while n:
             m = len(self.peek(min(n, BLOCK)))
@@ -232,7 +249,7 @@ class WarcReader(DataSourceReader):
                 size = 0
             out[-1].files.append(f)
             size += f[1]
-        return out
+        return out or [Files([])]
 
     def read(self, partition: Files) -> Iterator[pa.RecordBatch]:
         rows, size = [], 0
@@ -264,8 +281,9 @@ class WarcReader(DataSourceReader):
         stream = _Inflated(raw) if packed else raw
         while True:
             # a member that tells its length holds one record and can be stepped over
+            alone = packed and stream.at_member()
             start = raw.at
-            jump = _length(raw.peek(4096)) if packed and not stream.held and stream.inflate is None else None
+            jump = _length(raw.peek(4096)) if alone else None
             if not stream.peek(1):
                 return
             head, n = b"", 4096
@@ -301,7 +319,7 @@ class WarcReader(DataSourceReader):
                     raise ValueError(f"{path}: the payload of {row['record_id']} has another digest")
                 stream.step(length + 4)
             elif jump:
-                raw.held, raw.at = b"" if start + jump - raw.at >= len(raw.held) or start + jump < raw.at else raw.held[start + jump - raw.at :], start + jump
+                raw.seek(start + jump)
                 stream.held, stream.inflate = b"", None
             else:
                 stream.step(len(head) + 4 + length + 4)
