@@ -39,12 +39,14 @@ CONTENT = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "blockquote", "pre", "
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 # fixed values: words of class and id names that mark furniture
 MARKS = {
-    "ad", "ads", "advert", "alert", "advertisement", "advertising", "adverts", "banner", "breadcrumb", "breadcrumbs", "comment",
-    "comments", "consent", "cookie", "cookies", "disqus", "footer", "gdpr", "header", "masthead", "menu", "modal", "nav",
-    "navbar", "navigation", "newsletter", "notice", "notices", "pager", "pagination", "popup", "promo", "promoted",
-    "related", "replies", "respond", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe",
-    "toolbar", "widget", "widgets",
+    "ad", "adbox", "ads", "adsense", "adslot", "adunit", "alert", "banner", "consent", "discussion", "disqus", "footer", "gdpr",
+    "header", "masthead", "menu", "modal", "nav", "navigation", "notice", "notices", "pager", "popup", "promo", "promoted",
+    "related", "replies", "respond", "responses", "share", "sharing", "signup", "social", "toolbar", "widget", "widgets",
 }
+# fixed values: beginnings of such words
+BEGINNINGS = (
+    "advert", "breadcrumb", "comment", "cookie", "navbar", "newsletter", "paginat", "sidebar", "sponsor", "subscri",
+)
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "menu", "menubar", "dialog", "alert"}
 
 _TOKEN = re.compile(
@@ -59,7 +61,7 @@ def _marked(tag: str, attributes: str) -> bool:
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
         if name in ("class", "id"):
-            if any(word.lower() in MARKS for word in _NAME.findall(value)):
+            if any(word in MARKS or word.startswith(BEGINNINGS) for word in map(str.lower, _NAME.findall(value))):
                 return tag not in ("article", "main", "body", "html")
         elif name == "role" and value.lower() in ROLES or name == "hidden":
             return True
@@ -121,10 +123,10 @@ class Page:
             self._implied(tag)
         elif not furniture:
             return  # inline elements only carry text
-        inside = "article" in (self.tag[k] for k in self._stack)
+        inside = tag == "header" and "article" in (self.tag[k] for k in self._stack)
         self.tag.append(tag)
         self.parent.append(self._stack[-1])
-        self.skip.append(furniture or tag == "header" and not inside)
+        self.skip.append(not inside if tag == "header" else furniture)  # an article's own header holds its title
         self.hash.append(0)
         self._stack.append(len(self.tag) - 1)
         self._items[len(self.tag) - 1] = []

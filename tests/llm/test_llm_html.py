@@ -10,6 +10,7 @@ CASES = [
     ("", ""), ("just text & more <3", "just text & more <3"), ('<article><p>cut <a href="x', "cut"),
     ("<article>a<!-- b", "a"), ("<article>a<script>b", "a"), ("<main><p>m</p></main><div>out</div>", "m"),
     ('<article><header class="x"><h1>T</h1><p>by</p></header><p>b</p></article>', "T b"),
+    ('<article><header class="entry-header"><h1>T</h1></header>t<ol class="commentlist"><li>c</ol></article>', "T t"),
     ("<article>&#233;&nbsp;&lt;b&gt;\n\t&copy;</article>", "é <b> ©"), ("<article><p hidden>no</p><p>yes</p></article>", "yes"),
     ('<div role="navigation">n</div><article>x</div>y</article>z', "x y"),
     ("<p>no article</p><nav>n</nav><p>but text</p>", "no article but text"),
