@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statquarry.llm.arrays import M1, PAD, _LOW, hash_slices, join_words, lanes, map_slices, mix, split_words, utf8
+from statquarry.llm.arrays import M1, PAD, _LOW, hash_slices, join_words, lanes, map_slices, mix, sliced, split_words, utf8
 from statquarry.llm.tokens import texts_of
 
 SLICE_BYTES = 1 << 20
@@ -33,7 +33,7 @@ class Settings:
     max_toxic: int = 2000
     max_clean: int = 7000
     bits: int = 18
-    size: int = 16
+    size: int = 8
     shortest: int = 3
     longest: int = 6
     first_rounds: int = 30
@@ -104,42 +104,66 @@ class Model:
         return 1 / (1 + np.exp(-out))
 
 
-def train(texts: list[str], toxic: np.ndarray, settings: Settings = Settings()) -> Model:
-    """Fit vectors and softmax on whole texts.  With one class only, the score is that class's share."""
+def vocabulary(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Different words: their bytes, each after a blank, and where each begins; and the (text, word) pairs there are.
+
+    Works through slices of the texts, as tasks do: memory hangs on the number of words, not on their bytes times eight.
+    """
+    docs, words, known, held, row = [], [], [], [], 0
+    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+    for part in sliced([batch], "text", SLICE_BYTES):
+        line, blank, first = bordered(*utf8(part.column("text")))
+        size = np.diff(np.append(blank, max(len(line) - PAD - 1, 0)))
+        found, at, word = np.unique(hash_slices(line, blank + 1, blank + size), return_index=True, return_inverse=True)
+        doc, word = np.divmod(np.unique(np.repeat(np.arange(len(first) - 1), np.diff(first)) << 32 | word), 1 << 32)
+        docs.append((doc + row).astype(np.int32))
+        words.append(word.astype(np.int32))
+        known.append(found)
+        held += [line[a : a + n].tobytes() for a, n in zip(blank[at].tolist(), size[at].tolist())]
+        row += part.num_rows
+    names, at = np.unique(np.concatenate([np.zeros(0, np.uint64), *known]), return_index=True)
+    body = [held[k] for k in at.tolist()]
+    words = [np.searchsorted(names, found).astype(np.int32)[word] for found, word in zip(known, words)]
+    line = np.frombuffer(b"".join(body) + b" " * (1 + PAD), np.uint8)
+    empty = np.zeros(0, np.int32)
+    return line, np.cumsum([0, *map(len, body)]), np.concatenate([empty, *docs]), np.concatenate([empty, *words])
+
+
+def train(texts: pa.Array | list[str], toxic: np.ndarray, settings: Settings = Settings()) -> Model:
+    """Fit vectors and softmax on whole texts.  With one class only, or no word, the score is the toxic share."""
     toxic = np.asarray(toxic, float)
-    if not len(toxic) or toxic.min() == toxic.max():
+    line, begin, doc, word = vocabulary(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string()))
+    number = len(begin) - 1
+    if not number or toxic.min() == toxic.max():
         share = (toxic.sum() + 0.01) / (len(toxic) + 1)
         return Model(np.zeros(1 << settings.bits, np.float32), float(np.log(share / (1 - share))), settings)
-    line, blank, first = bordered(*utf8(pa.array(texts, pa.large_string())))
-    size = np.diff(np.append(blank, len(line) - PAD - 1))
-    _, place, word = np.unique(hash_slices(line, blank + 1, blank + size), return_index=True, return_inverse=True)
-    pairs = np.unique(np.repeat(np.arange(len(texts)), np.diff(first)) << 32 | word)  # different words of every text
-    doc, word = (pairs >> 32).astype(np.int32), (pairs & 0xFFFFFFFF).astype(np.int32)
-    del pairs
     head = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
     label = toxic[doc[head]]
     slot = np.repeat(np.arange(len(head), dtype=np.int32), np.diff(np.append(head, len(doc))))
-    # bags of the different words: table rows and word numbers, one pair of columns for each n-gram length
-    size = size[place]
-    at = np.cumsum(size) - size
-    only = np.full(int(size.sum()) + 1 + PAD, 32, np.uint8)
-    only[: int(size.sum())] = line[np.repeat(blank[place] - at, size) + np.arange(int(size.sum()))]
-    of = np.repeat(np.arange(len(place), dtype=np.int32), size)
-    bags = [(rows[inside], of[inside]) for rows, inside in grams(only, at, settings)]
-    del line, only, of
-    count = sum(np.bincount(words, minlength=len(place)) for _, words in bags)
+    # bags of the different words: table rows and word numbers, one pair of columns for each n-gram length and block
+    bags = []
+    for low in range(0, number, 1 << 15):
+        at = begin[low : low + (1 << 15) + 1]
+        block = np.concatenate([line[at[0] : at[-1]], np.full(1 + PAD, 32, np.uint8)])
+        of = np.repeat(np.arange(low, low + len(at) - 1, dtype=np.int32), np.diff(at))
+        bags += [(rows[inside], of[inside]) for rows, inside in grams(block, at[:-1] - at[0], settings)]
+    count = sum(np.bincount(words, minlength=number) for _, words in bags)
     draw = np.random.default_rng(settings.seed)
     table = (draw.standard_normal((1 << settings.bits, settings.size)) / settings.size).astype(np.float32)
     out = (draw.standard_normal((settings.size, 2)) / settings.size).astype(np.float32)
     bias = np.zeros(2, np.float32)
     seen = [np.full_like(x, 1e-6) for x in (table, out, bias)]
-    with_toxic = np.bincount(word, weights=label[slot], minlength=len(place))
-    with_any = np.bincount(word, minlength=len(place))
+    with_toxic = np.bincount(word, weights=label[slot], minlength=number)
+    with_any = np.bincount(word, minlength=number)
     one, zero = with_toxic / label.sum(), (with_any - with_toxic) / (1 - label).sum()
 
     def word_logits(bags: list, count: np.ndarray) -> np.ndarray:
         value = table @ (out[:, 1] - out[:, 0])
-        total = sum(np.bincount(words, weights=value[rows], minlength=len(count)) for rows, words in bags)
+        total = np.zeros(len(count))
+        for rows, words in bags:
+            low = int(words.min(initial=len(count)))  # the words of a block follow one another
+            part = np.bincount(words - low, weights=value[rows])
+            total[low : low + len(part)] += part
         return total / count + (bias[1] - bias[0])
 
     def descend(error: np.ndarray, bags: list, count: np.ndarray) -> None:
@@ -170,10 +194,12 @@ def train(texts: list[str], toxic: np.ndarray, settings: Settings = Settings())
             order = np.lexsort((-own, slot))
             near = order[np.arange(len(order)) - head[slot] < settings.looked_at]
             chosen = np.unique(word[near])
-            number = np.full(len(place), -1, np.int32)
-            number[chosen] = np.arange(len(chosen))
-            some = [(rows[kept], number[words[kept]]) for rows, words in bags for kept in [number[words] >= 0]]
-            words, at_doc, few = number[word[near]], slot[near], count[chosen]
+            again = np.full(number, -1, np.int32)
+            again[chosen] = np.arange(len(chosen))
+            some = [(rows[kept], again[words[kept]]) for rows, words in bags for kept in [again[words] >= 0]]
+            some = [tuple(map(np.concatenate, zip(*some)))]
+            words, at_doc, few = again[word[near]], slot[near], count[chosen]
+            del own, order, near, again
             begin = np.flatnonzero(np.append(True, at_doc[1:] != at_doc[:-1]))
         own = word_logits(some, few)[words]
         best = np.maximum.reduceat(own, begin)[at_doc]
@@ -189,7 +215,7 @@ def train(texts: list[str], toxic: np.ndarray, settings: Settings = Settings())
     return Model(value.astype(np.float32), float(bias[1] - bias[0]), settings)
 
 
-def labelled(documents: DataFrame, labels: DataFrame, settings: Settings, id: str, text: str, label: str) -> tuple[list, np.ndarray]:
+def labelled(documents: DataFrame, labels: DataFrame, settings: Settings, id: str, text: str, label: str) -> tuple[pa.Array, np.ndarray]:
     """The different words of a bounded sample of labelled documents, chosen by a hash of the id alone, and their labels."""
     known = (
         labels.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{label}`").alias("toxic"))
@@ -204,8 +230,9 @@ def labelled(documents: DataFrame, labels: DataFrame, settings: Settings, id: st
     words = F.array_join(F.array_distinct(F.split(F.translate("text", UPPER, LOWER), r"[\x20\x09-\x0D]+")), " ")
     rows = texts_of(documents, id, text).join(chosen, "id").groupBy("id").agg(
         F.max("toxic").alias("toxic"), F.max(words).alias("words")
-    ).orderBy("id").collect()
-    return [r["words"] for r in rows], np.array([r["toxic"] for r in rows], float)
+    ).orderBy("id").select("toxic", "words").toArrow()
+    words = rows.column("words").cast(pa.large_string()).combine_chunks()
+    return words.chunk(0) if isinstance(words, pa.ChunkedArray) else words, rows.column("toxic").to_numpy().astype(float)
 
 
 def toxicity(
