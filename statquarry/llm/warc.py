@@ -24,7 +24,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
-    DataSource, DataSourceReader, DataSourceWriter, EqualTo, Filter, In, InputPartition, IsNotNull, IsNull, WriterCommitMessage,
+    DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, In, InputPartition, IsNotNull, IsNull, WriterCommitMessage,
 )
 
 from statquarry.llm.storage import shared_folder
@@ -38,15 +38,15 @@ HEADERS = {
 }
 NUMBERS = {"page_id", "refers_to", "payload_bytes"}
 READ = ", ".join(f"{c} {'long' if c in NUMBERS else 'string'}" for c in HEADERS) + ", payload binary"
-WRITE = "page_id long, target_uri string, payload binary, payload_digest string, refers_to long"
-FILE_BYTES, PARTITION_BYTES, BATCH_BYTES, BLOCK = 256 << 20, 64 << 20, 4 << 20, 1 << 20
+COLUMNS = ["page_id", "target_uri", "payload", "sha1", "refers_to"]  # of a frame to write
+FILE_BYTES, PARTITION_BYTES, BATCH_BYTES, BLOCK, PIECE = 256 << 20, 64 << 20, 4 << 20, 1 << 20, 1 << 14
 
 
 def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def member(content: bytes, level: int = 3) -> bytes:
+def member(content: bytes, level: int = 1) -> bytes:
     """One gzip member with its own length and the content's in the extra field "sl"."""
     deflate = zlib.compressobj(level, zlib.DEFLATED, -15)
     body = deflate.compress(content) + deflate.flush()
@@ -73,16 +73,16 @@ class Written(WriterCommitMessage):
     files: list[tuple[str, int]]
 
 
-class WarcWriter(DataSourceWriter):
+class WarcWriter(DataSourceArrowWriter):
     def __init__(self, path: str, date: str):
         self.path, self.date, self.name = path, date, uuid.uuid4().hex
 
-    def write(self, rows: Iterator) -> Written:
+    def write(self, batches: Iterator[pa.RecordBatch]) -> Written:
         """One partition's records, in files of their own: an attempt never writes into another's file."""
         files, out, size = [], None, 0
         store, folder = _open(self.path)
         store.create_dir(folder, recursive=True)
-        for row in rows:
+        for row in (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in COLUMNS))):
             if out is None:
                 name = f"{uuid.uuid4().hex}.warc.gz"
                 out, size = store.open_output_stream(f"{folder}/{name}", compression=None), 0
@@ -91,7 +91,7 @@ class WarcWriter(DataSourceWriter):
                     [("WARC-Type", "warcinfo"), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>"), ("WARC-Date", self.date),
                      ("Content-Type", "application/warc-fields")], about,
                 )))
-            size += out.write(member(self._record(row)))
+            size += out.write(member(self._record(*row)))
             if size > FILE_BYTES:
                 out.close()
                 files.append((name, size))
@@ -101,22 +101,21 @@ class WarcWriter(DataSourceWriter):
             files.append((name, size))
         return Written(files)
 
-    def _record(self, row) -> bytes:
-        payload = bytes(row["payload"] or b"")
-        again = row["refers_to"] is not None
+    def _record(self, page_id, target_uri, payload, sha1, refers_to) -> bytes:
+        code = base64.b32encode(bytes.fromhex(sha1)).decode()
         http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
         headers = [
-            ("WARC-Type", "revisit" if again else "response"), ("WARC-Record-ID", _id(row["page_id"], row["payload_digest"])),
-            ("WARC-Date", self.date), ("WARC-Target-URI", row["target_uri"]),
-            ("Content-Type", "application/http; msgtype=response"), ("WARC-Payload-Digest", f"sha1:{row['payload_digest']}"),
-            ("X-Page-Id", None if row["page_id"] is None else str(row["page_id"])), ("X-Payload-Bytes", str(len(payload))),
+            ("WARC-Type", "response" if refers_to is None else "revisit"), ("WARC-Record-ID", _id(page_id, code)),
+            ("WARC-Date", self.date), ("WARC-Target-URI", target_uri),
+            ("Content-Type", "application/http; msgtype=response"), ("WARC-Payload-Digest", f"sha1:{code}"),
+            ("X-Page-Id", None if page_id is None else str(page_id)), ("X-Payload-Bytes", str(len(payload))),
         ]
-        if again:
+        if refers_to is not None:
             headers += [
                 ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
-                ("WARC-Refers-To", _id(row["refers_to"], row["payload_digest"])), ("X-Refers-To-Page-Id", str(row["refers_to"])),
+                ("WARC-Refers-To", _id(refers_to, code)), ("X-Refers-To-Page-Id", str(refers_to)),
             ]
-        return record(headers, http if again else http + payload)
+        return record(headers, http + payload if refers_to is None else http)
 
     def commit(self, messages: list[Written | None]) -> None:
         store, folder = _open(self.path)
@@ -137,41 +136,44 @@ class Files(InputPartition):
 
 
 class _Bytes:
-    """Forward reading of a file, with steps over what isn't wanted."""
+    """Forward reading of a file, with steps over what isn't wanted.  ``held[low:]`` is what was read beyond ``at``."""
 
     def __init__(self, file: pa.NativeFile):
-        self.file, self.size, self.at, self.held = file, file.size(), 0, b""
+        self.file, self.size, self.at, self.held, self.low = file, file.size(), 0, b"", 0
 
     def peek(self, n: int) -> bytes:
-        if len(self.held) < n and self.at + len(self.held) < self.size:
-            self.file.seek(self.at + len(self.held))
-            self.held += self.file.read(max(n - len(self.held), BLOCK))
-        return self.held[:n]
+        have = len(self.held) - self.low
+        if have < n and self.at + have < self.size:
+            self.file.seek(self.at + have)
+            self.held, self.low = self.held[self.low :] + self.file.read(max(n - have, BLOCK)), 0
+        return self.held[self.low : self.low + n]
 
     def step(self, n: int) -> None:
-        self.held, self.at = self.held[n:], self.at + n
+        self.seek(self.at + n)
 
     def seek(self, at: int) -> None:
-        self.held, self.at = self.held[at - self.at :] if at >= self.at else b"", at
+        self.low, self.at = self.low + at - self.at, at
+        if not 0 <= self.low <= len(self.held):
+            self.held, self.low = b"", 0
 
 
 class _Inflated:
     """The same over concatenated gzip members, decoded as far as it is read."""
 
     def __init__(self, raw: _Bytes):
-        self.raw, self.inflate, self.held = raw, None, b""
+        self.raw, self.inflate, self.held, self.fed = raw, None, b"", PIECE
 
     def peek(self, n: int) -> bytes:
         parts, have = [self.held], len(self.held)
         while have < n:
-            data = self.raw.peek(BLOCK)
+            data = self.raw.peek(self.fed)
             if not data and self.inflate is None:
                 break
             parts.append(self._more(data, n - have))
             have += len(parts[-1])
             if not data and not parts[-1]:
                 break
-        self.held = b"".join(parts)
+        self.held = b"".join(parts) if len(parts) > 1 else self.held
         return self.held[:n]
 
     def _more(self, data: bytes, most: int) -> bytes:
@@ -187,7 +189,7 @@ class _Inflated:
     def at_member(self) -> bool:
         """Whether the next byte is a member's first; the end of a member that was read whole is taken."""
         if not self.held and self.inflate is not None:
-            self.held = self._more(self.raw.peek(BLOCK), 1)
+            self.held = self._more(self.raw.peek(PIECE), 1)
         return not self.held and self.inflate is None
 
     def step(self, n: int) -> None:
@@ -283,7 +285,9 @@ class WarcReader(DataSourceReader):
             # a member that tells its length holds one record and can be stepped over
             alone = packed and stream.at_member()
             start = raw.at
-            jump = _length(raw.peek(4096)) if alone else None
+            jump = _length(raw.peek(64)) if alone else None
+            if packed:
+                stream.fed = min(jump, BLOCK) if jump else PIECE  # a member that tells its length is fed at once
             if not stream.peek(1):
                 return
             head, n = b"", 4096
@@ -373,17 +377,8 @@ def write_pages(
         joined = hashed.join(F.broadcast(again), "sha1", "left")
     else:
         joined = splittable_join(hashed, again, ["sha1"], how="left")
-    plain = F.unhex("sha1")
-
-    def base32(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            codes = [base64.b32encode(x).decode() for x in batch.column("payload_digest").to_pylist()]
-            yield batch.set_column(batch.schema.get_field_index("payload_digest"), "payload_digest", pa.array(codes, pa.string()))
-
     other = F.col("page_id").isNull() | (F.col("page_id") > F.col("first"))
-    out = joined.select(
-        "page_id", "target_uri", "payload", plain.alias("payload_digest"), F.when(other, F.col("first")).alias("refers_to")
-    ).mapInArrow(base32, WRITE)
+    out = joined.select("page_id", "target_uri", "payload", "sha1", F.when(other, F.col("first")).alias("refers_to"))
     out.sparkSession.dataSource.register(WarcSource)
     out.write.format("warc").mode("append").save(path)
 
