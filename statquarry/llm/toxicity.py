@@ -190,16 +190,18 @@ def train(texts: pa.Array | list[str], toxic: np.ndarray, settings: Settings = S
     for turn in range(settings.rounds):
         if turn % settings.refresh == 0:
             # the most toxic words of every document, and their bags
-            own = word_logits(bags, count)[word]
-            order = np.lexsort((-own, slot))
-            near = order[np.arange(len(order)) - head[slot] < settings.looked_at]
+            logits, most = word_logits(bags, count).astype(np.float32), settings.looked_at
+            near = np.concatenate([
+                low + (np.argpartition(-logits[word[low:high]], most)[:most] if high - low > most else np.arange(high - low))
+                for low, high in zip(head.tolist(), [*head[1:].tolist(), len(doc)])
+            ])
             chosen = np.unique(word[near])
             again = np.full(number, -1, np.int32)
             again[chosen] = np.arange(len(chosen))
             some = [(rows[kept], again[words[kept]]) for rows, words in bags for kept in [again[words] >= 0]]
             some = [tuple(map(np.concatenate, zip(*some)))]
             words, at_doc, few = again[word[near]], slot[near], count[chosen]
-            del own, order, near, again
+            del logits, near, again
             begin = np.flatnonzero(np.append(True, at_doc[1:] != at_doc[:-1]))
         own = word_logits(some, few)[words]
         best = np.maximum.reduceat(own, begin)[at_doc]
