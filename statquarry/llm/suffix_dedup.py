@@ -47,18 +47,23 @@ def suffix_array(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     n, strings = int(offsets[-1]), len(offsets) - 1
     string = np.repeat(np.arange(strings), np.diff(offsets))
     left = offsets[1:][string] - np.arange(n)
-    short = np.minimum(left, 8)
+    # seven bytes and, in the last place, how many of them there are; 255 stands for all
+    short = np.minimum(left, 7)
     head = lanes(buf)[:n].byteswap()
     head &= _HIGH[short]
-    tail = np.where(left < 8, left * strings + string, np.iinfo(np.int64).max)
-    order = np.lexsort((tail, head))
+    head |= np.where(left < 7, left, 255).astype(np.uint64)
+    order = np.argsort(head)
+    ordered = head[order]
+    ending = np.flatnonzero((ordered & np.uint64(255)) < 7)  # suffixes that differ by their ends, in the strings' order
+    order[ending] = order[ending][np.lexsort((order[ending], ordered[ending]))]
     fresh = np.ones(n, bool)
-    fresh[1:] = (head[order][1:] != head[order][:-1]) | (tail[order][1:] != tail[order][:-1])
+    fresh[1:] = ordered[1:] != ordered[:-1]
+    fresh[ending] = True
     slots = np.arange(n)
     group = np.maximum.accumulate(np.where(fresh, slots, 0))
     rank = np.empty(n, np.int64)
     rank[order] = group
-    depth, triple = 8, n + strings < 1 << 21
+    depth, triple = 7, n + strings < 1 << 21
 
     def follower(at: np.ndarray, steps: int) -> np.ndarray:
         """Group of what follows after ``steps`` bytes; an end counts as the string's own symbol."""
@@ -89,36 +94,43 @@ def suffix_array(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def common_prefixes(
-    buf: np.ndarray, offsets: np.ndarray, order: np.ndarray, rank: np.ndarray, limit: int
-) -> np.ndarray:
-    """Common prefix of every suffix with the one before it in the order, as far as ``limit``.
+    buf: np.ndarray, offsets: np.ndarray, order: np.ndarray, rank: np.ndarray, limit: int, heads: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Chosen suffixes in order, and the common prefix of each with the chosen one before it, as far as ``limit``.
 
-    Kasai's rule: a suffix shares one byte less, at least, than the suffix that begins one byte earlier.  All strings are
-    walked side by side.
+    Chosen are the first ``heads`` suffixes of every string (all by default).  Kasai's rule: a suffix shares one byte less,
+    at least, than the suffix that begins one byte earlier, if the other's next suffix is a chosen one too.  All strings
+    are walked side by side.
     """
-    eight, n = lanes(buf), int(offsets[-1])
-    out = np.zeros(n, np.int64)
-    sizes = np.diff(offsets)
-    end = np.repeat(offsets[1:], sizes)
-    walk = np.argsort(-sizes, kind="stable")
-    count = np.searchsorted(-sizes[walk], -np.arange(1, int(sizes.max(initial=0)) + 1), side="right")
+    eight, n, sizes = lanes(buf), int(offsets[-1]), np.diff(offsets)
+    heads = sizes if heads is None else heads
+    string = np.repeat(np.arange(len(sizes)), sizes)
+    end = offsets[1:][string]
+    chosen = np.arange(n) - offsets[:-1][string] < heads[string]
+    found = order[chosen[order]]
+    slot_of = np.zeros(n + 1, np.int64)
+    slot_of[found] = np.arange(len(found))
+    goes_on = np.append(chosen[1:] & (string[1:] == string[:-1]), False) if n else chosen
+    out = np.zeros(len(found), np.int64)
+    walk = np.argsort(-heads, kind="stable")
+    count = np.searchsorted(-heads[walk], -np.arange(1, int(heads.max(initial=0)) + 1), side="right")
     shared = np.zeros(len(sizes), np.int64)
     for step, width in enumerate(count.tolist()):
         here = offsets[:-1][walk[:width]] + step
-        slot = rank[here]
-        other = order[slot - 1]
+        slot = slot_of[here]
+        other = found[slot - 1]
         most = np.minimum(np.minimum(end[here] - here, end[other] - other), limit)
         most[slot == 0] = 0
-        same = np.minimum(np.maximum(shared[:width] - 1, 0), most)
+        same = np.minimum(shared[:width], most)
         going = np.flatnonzero(same < most)
         while len(going):
             differ = eight[here[going] + same[going]] ^ eight[other[going] + same[going]]
             bytes_ = np.where(differ == 0, 8, np.bitwise_count((differ & (~differ + np.uint64(1))) - np.uint64(1)) >> 3)
             same[going] = np.minimum(same[going] + bytes_, most[going])
             going = going[(bytes_ == 8) & (same[going] < most[going])]
-        shared[:width] = same
+        shared[:width] = np.where(goes_on[other], np.maximum(same - 1, 0), 0)
         out[slot] = same
-    return out
+    return found, out
 
 
 def _shard(rows: pa.Table, window: int, lots: int) -> pa.Table:
@@ -133,19 +145,12 @@ def _shard(rows: pa.Table, window: int, lots: int) -> pa.Table:
     n = rows.column("n").to_numpy().astype(np.int64)
     spread = rows.column("parts").to_numpy() > 1
     order, rank = suffix_array(buf, offsets)
-    prefix = common_prefixes(buf, offsets, order, rank, window)
-    base = offsets[:-1]
-    own = np.repeat(base - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))  # places of the windows
-    slot = np.sort(rank[own])
-    if len(slot) > 1:
-        near = np.minimum.reduceat(np.append(prefix, 0), np.column_stack([slot[:-1] + 1, slot[1:] + 1]).ravel())[::2]
-    else:
-        near = np.zeros(0, np.int64)
-    with_next = np.append(near >= window, False)
-    with_last = np.append(False, near >= window)[: len(slot)]
+    chosen, prefix = common_prefixes(buf, offsets, order, rank, window, n)
+    own = np.repeat(offsets[:-1] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))  # places of the windows
+    with_last = prefix >= window
     marked, lead = np.zeros(len(order), bool), np.zeros(len(order), bool)
-    marked[order[slot]] = with_next | with_last
-    lead[order[slot]] = ~with_last
+    marked[chosen] = with_last | np.append(with_last[1:], False)
+    lead[chosen] = ~with_last
     bounds = pa.array(np.append(0, np.cumsum(n)).astype(np.int32))
     hashes = Rolling(_BYTE[buf[: int(offsets[-1])]]).of(own, own + window).view(np.int64)
     marks = pa.ListArray.from_arrays(bounds, pa.array(marked[own]))

@@ -111,8 +111,8 @@ def test_cut_documents_keep_their_columns(spark):
     assert without_repeats(empty(spark)).count() == 0
 
 
-@given(st.lists(st.binary(max_size=40).map(lambda b: bytes(x % 3 for x in b)), min_size=1, max_size=6))
-def test_suffix_array_and_common_prefixes(strings):
+@given(st.lists(st.binary(max_size=40).map(lambda b: bytes(x % 3 for x in b)), min_size=1, max_size=6), st.integers(0, 40))
+def test_suffix_array_and_common_prefixes(strings, head):
     buf, offsets = utf8(pa.array(strings, pa.binary()))
     order, rank = suffix_array(buf, offsets)
     of = np.repeat(np.arange(len(strings)), np.diff(offsets))
@@ -120,11 +120,14 @@ def test_suffix_array_and_common_prefixes(strings):
     # the end of string k sorts before all bytes, and before the ends of later strings
     want = sorted(range(int(offsets[-1])), key=lambda p: [*(b + len(strings) for b in suffix(p)), of[p]])
     assert order.tolist() == want and rank[order].tolist() == list(range(len(order)))
-    shared = common_prefixes(buf, offsets, order, rank, 17)
-    for k in range(1, len(order)):
-        a, b = suffix(order[k - 1]), suffix(order[k])
-        plain = next((n for n, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
-        assert shared[k] == min(plain, 17)
+    for heads in (None, np.minimum(np.diff(offsets), head)):
+        chosen, shared = common_prefixes(buf, offsets, order, rank, 17, heads)
+        first = np.diff(offsets) if heads is None else heads
+        assert chosen.tolist() == [p for p in want if p - offsets[of[p]] < first[of[p]]]
+        for k in range(1, len(chosen)):
+            a, b = suffix(chosen[k - 1]), suffix(chosen[k])
+            plain = next((n for n, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+            assert shared[k] == min(plain, 17)
 
 
 def test_sketch_never_counts_too_low(spark):
