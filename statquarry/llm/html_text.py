@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections.abc import Callable
 
 import pyarrow as pa
 import xxhash
@@ -37,16 +38,25 @@ BLOCKS = {
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 CONTENT = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "blockquote", "pre", "dd", "dt", "figcaption", "td", "th", "tr"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
-# fixed values: words of class and id names that mark furniture
+# fixed values: elements that a class name can make furniture; text elements, headings and inline elements it cannot
+CONTAINERS = {"address", "center", "details", "dir", "div", "dl", "figure", "ol", "section", "table", "ul"}
+# fixed values: words of class names that mark furniture
 MARKS = {
-    "ad", "adbox", "ads", "adsense", "adslot", "adunit", "alert", "banner", "consent", "discussion", "disqus", "footer", "gdpr",
-    "header", "masthead", "menu", "modal", "nav", "navigation", "notice", "notices", "pager", "popup", "promo", "promoted",
-    "related", "replies", "respond", "responses", "share", "sharing", "signup", "social", "toolbar", "widget", "widgets",
+    "ad", "adbox", "ads", "adsense", "adslot", "adunit", "advert", "advertisement", "advertisements", "adverts", "breadcrumb",
+    "breadcrumbs", "comment", "commentlist", "comments", "cookie", "cookies", "disqus", "footer", "gdpr", "nav", "navbar",
+    "navigation", "newsletter", "pager", "pagination", "paginator", "popup", "promo", "promos", "promoted", "share", "sharing",
+    "sidebar", "sidebars", "signup", "sponsor", "sponsored", "sponsors", "subscribe",
+}
+# fixed values: words that mark furniture outside an article only, where id names count too
+OUTER = {
+    "alert", "banner", "consent", "masthead", "menu", "modal", "replies", "respond", "responses", "toolbar", "widget", "widgets",
+}
+# fixed values: words that may stand beside them in one name, as in ad-box or left-sidebar
+BESIDE = {
+    "area", "banner", "bar", "block", "bottom", "box", "button", "buttons", "consent", "container", "form", "inner", "item",
+    "left", "list", "menu", "notice", "outer", "popup", "primary", "right", "secondary", "section", "site", "slot", "social",
+    "thread", "top", "unit", "widget", "wrap", "wrapper",
 }
-# fixed values: beginnings of such words
-BEGINNINGS = (
-    "advert", "breadcrumb", "comment", "cookie", "navbar", "newsletter", "paginat", "sidebar", "sponsor", "subscri",
-)
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "menu", "menubar", "dialog", "alert"}
 
 _TOKEN = re.compile(
@@ -56,13 +66,23 @@ _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
-def _marked(tag: str, attributes: str) -> bool:
-    """Whether an element's own attributes make it furniture."""
+def _names_furniture(value: str, marks: set[str]) -> bool:
+    """Whether a whole name of a class or id value consists of words for furniture: ad-box does, ad-hoc doesn't."""
+    for name in value.split():
+        words = [word.lower() for word in _NAME.findall(name)]
+        if not marks.isdisjoint(words) and all(word in marks or word in BESIDE for word in words):
+            return True
+    return False
+
+
+def _marked(tag: str, attributes: str, in_article: Callable[[], bool]) -> bool:
+    """Whether an element's own attributes make it furniture; in an article no id does, and fewer class names do."""
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
         if name in ("class", "id"):
-            if any(word in MARKS or word.startswith(BEGINNINGS) for word in map(str.lower, _NAME.findall(value))):
-                return tag not in ("article", "main", "body", "html")
+            if tag in CONTAINERS and _names_furniture(value, MARKS | OUTER):
+                if not in_article() or name == "class" and _names_furniture(value, MARKS):
+                    return True
         elif name == "role" and value.lower() in ROLES or name == "hidden":
             return True
         elif name == "aria-hidden" and value.lower() == "true":
@@ -118,12 +138,12 @@ class Page:
             self.text.append(None)
         if tag in VOID:
             return
-        furniture = tag in FURNITURE or bool(attributes) and _marked(tag, attributes)
+        furniture = tag in FURNITURE or bool(attributes) and _marked(tag, attributes, self._in_article)
         if block:
             self._implied(tag)
         elif not furniture:
             return  # inline elements only carry text
-        inside = tag == "header" and "article" in (self.tag[k] for k in self._stack)
+        inside = tag == "header" and self._in_article()
         self.tag.append(tag)
         self.parent.append(self._stack[-1])
         self.skip.append(not inside if tag == "header" else furniture)  # an article's own header holds its title
@@ -131,6 +151,9 @@ class Page:
         self._stack.append(len(self.tag) - 1)
         self._items[len(self.tag) - 1] = []
 
+    def _in_article(self) -> bool:
+        return "article" in (self.tag[k] for k in self._stack)
+
     def _implied(self, tag: str) -> None:
         """End tags that a start tag implies: a block ends a paragraph, an item the item before it."""
         ends = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),

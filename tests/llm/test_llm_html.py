@@ -18,6 +18,21 @@ CASES = [
     ('<article title="a > b"><p>q</p></article>', "q"), ("<article><textarea>no</textarea>t<style>p{}</style></article>", "t"),
     ('<div class="cookie-notice">c</div><div class="sidebar">s</div><div>kept</div>', "kept"), ("<article>" + "<div>" * 2000 + "deep", "deep"),
 ]
+KEPT = [
+    ('<article><p>H<span class="subscript">2</span>O</p></article>', "H2O"),
+    ('<article><div class="commentary"><p>c</p></div>d</article>', "c d"),
+    ('<article><section id="discussion"><h2>Discussion</h2><p>d</p></section></article>', "Discussion d"),
+    ('<article><h2 id="related-work">Related work</h2><p>r</p></article>', "Related work r"),
+    ('<article><div class="entry-header"><h1>T</h1></div>t</article>', "T t"),
+    ('<article><p class="ad">p</p><b class="promo">b</b><div id="comments">i</div></article>', "p b i"),
+    ('<article><div class="menu">soup</div><div class="alert alert-info">note</div></article>', "soup note"),
+    ('<main><section id="discussion">d</section><div class="ad-hoc">a</div></main>', "d a"),
+    ('<div class="content-sidebar has-sidebar"><p>b</p></div><div id="cookie-recipe">c</div>', "b c"),
+]
+GONE = [
+    ('<article>a<div class="x left-sidebar">s</div><ul class="breadcrumbs"><li>b</ul><section class="post-ads ads">x</section></article>', "a"),
+    ('<div id="sidebar">s</div><ul class="menu"><li>m</ul><div id="comments">c</div><p>kept</p>', "kept"),
+]
 PAGES = "page_id long, url string, html string, text string, host string, key long, templates string"
 
 
@@ -30,6 +45,11 @@ def test_main_text(source, text):
     assert Page(source).main_text() == text
 
 
+@pytest.mark.parametrize("source, text", KEPT + GONE)
+def test_only_whole_names_on_containers_mark_furniture(source, text):
+    assert Page(source).main_text() == text
+
+
 def test_templates_of_a_host_go(spark):
     box = "<div><span>Follow us</span><p>every day</p></div>"
     rows = [(k, f"http://a.org/{k}", f"<body>{box}<p>text {k}</p><p>The end.</p></body>") for k in range(20)]
