@@ -66,6 +66,27 @@ def test_article_paragraphs_and_copies_are_no_templates(spark):
     assert got[7] == "own 7 The same line." and got[60] == "copy The same line."
 
 
+def test_templates_of_a_host_of_many_sections_go(spark):
+    promo, menu = "<div><b>Try our weekly letter today</b></div>", "<div><p>In section {} : all the {}</p></div>"
+    sign, short = "<p>Sign up for more of this.</p>", "<div>Thanks!</div>"
+    rows = []
+    for k in range(1200):  # 40 sections of 30 pages; the promo is on 20 % of all pages and in no section on 25 % of them
+        box = f"{promo if k % 30 < 6 else ''}{menu.format(k // 30, k // 30)}{short if k % 9 == 0 and k % 30 else ''}"
+        rows.append((k, f"http://a.org/s{k // 30}/{k}", f"<article><h2>Sources</h2><p>own {k}</p>{box}{sign}</article>"))
+    got = {r.page_id: r.text for r in main_texts(table(spark, rows)).collect()}
+    wanted = {k: f"Sources own {k}" + (" Thanks!" if k % 9 == 0 and k % 30 else "") for k in range(1200)}
+    assert got == wanted
+
+
+def test_a_page_saved_often_is_no_template(spark):
+    body = "<div><p>a long text that stays the same</p></div>"
+    rows = [(k, "http://a.org/one/page", f"<article><p>seen {k} times</p>{body}</article>") for k in range(110)]
+    rows += [(200 + k, f"http://a.org/s{k}/x", f"<article><p>own {k}</p></article>") for k in range(400)]
+    rows += [(700 + k, f"http://a.org/one/{k}", f"<article><p>other {k}</p></article>") for k in range(400)]
+    got = {r.page_id: r.text for r in main_texts(table(spark, rows)).collect()}
+    assert got[7] == "seen 7 times a long text that stays the same" and got[207] == "own 7"
+
+
 def test_nulls_repeated_rows_and_empty_tables(spark):
     rows = [(1, None, None), (None, "http://a.org", "<p>x</p>"), (2, "not a url", ""), (3, "http://a.org", "<p>y</p>"), (3, "http://a.org", "<p>y</p>")]
     got = sorted(((r.page_id, r.text) for r in main_texts(table(spark, rows)).collect()), key=str)
