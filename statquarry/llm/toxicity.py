@@ -30,10 +30,10 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 class Settings:
     """``max_toxic`` and ``max_clean`` bound the labelled documents that are learned from."""
 
-    max_toxic: int = 2000
-    max_clean: int = 7000
+    max_toxic: int = 4000
+    max_clean: int = 8000
     bits: int = 18
-    size: int = 8
+    size: int = 16
     shortest: int = 3
     longest: int = 6
     first_rounds: int = 30

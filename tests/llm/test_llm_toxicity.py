@@ -77,3 +77,7 @@ def test_filter_keeps_whole_rows(spark):
     kept = {r.doc_id for r in after.collect()}
     assert {None, 999} <= kept and sum((i in kept) == (x == 0) for i, _, x in labels) >= 0.95 * len(labels)
     assert DOCUMENTS.split(",")[0].split()[0] in after.columns
+
+
+def test_the_default_model_is_not_cut():
+    assert (Settings().max_toxic, Settings().max_clean, Settings().size) == (4000, 8000, 16)
