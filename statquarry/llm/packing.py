@@ -13,6 +13,7 @@ import math
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from statquarry.llm.arrays import map_slices
 from statquarry.llm.storage import saved
 from statquarry.llm.tokens import SLICE_BYTES, TokenIds, held, specification, texts_of
 
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, row long"
+PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, row long, copy long"
 
 
 class Capacities:
@@ -116,16 +117,25 @@ def token_pieces(
         length = np.minimum(capacity, stop[doc] - low)
         raw = flat.tobytes()
         sums = [zlib.crc32(raw[4 * a : 4 * (a + n)]) for a, n in zip(low.tolist(), length.tolist())]
+        # number of a row among the equal ones of its slice
+        keys = {"id": part.column("id").fill_null(0), "null": part.column("id").is_null(), "row": part.column("row")}
+        copy = pd.DataFrame({k: v.to_numpy(zero_copy_only=False) for k, v in keys.items()}).groupby([*keys]).cumcount()
         return pa.RecordBatch.from_arrays(
             [part.column("id").take(pa.array(doc)), pa.array(piece.astype(np.int32)), pa.array(piece * capacity),
-             pa.array(length), pa.array(sums, pa.int64()), part.column("row").take(pa.array(doc))],
-            names=["doc_id", "piece", "start", "length", "ids_crc32", "row"],
+             pa.array(length), pa.array(sums, pa.int64()), part.column("row").take(pa.array(doc)),
+             pa.array(copy.to_numpy(np.int64)[doc])],
+            names=["doc_id", "piece", "start", "length", "ids_crc32", "row", "copy"],
         )
 
     texts = texts_of(documents, id, text).withColumn("row", F.xxhash64("text"))
     return saved(map_slices(texts, "text", run, PIECES, SLICE_BYTES), "pieces")
 
 
+def in_lots(pieces: DataFrame, many: int) -> DataFrame:
+    """Deal pieces to lots by their values; equal rows by their written number as well, so that no lot gets them all."""
+    return pieces.withColumn("lot", F.pmod(F.xxhash64("doc_id", "row", "piece").bitwiseXOR(F.col("copy")), F.lit(many)))
+
+
 def pack(
     documents: DataFrame, path: str, capacity: int = 4096, end: int = 1, id: str = "doc_id", text: str = "text",
     lot: int = 50_000,
@@ -144,7 +154,7 @@ def pack(
     )
     # number of every piece among those of its length: pieces of a length are dealt to lots, lots are counted
     many = math.ceil((sum(r["n"] for r in lengths) + 1) / lot)
-    dealt = pieces.withColumn("lot", F.pmod(F.xxhash64("doc_id", "row", "piece"), F.lit(many)))
+    dealt = in_lots(pieces, many)
     sizes = dealt.groupBy("length", "lot").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("lot").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select("length", "lot", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))

@@ -60,7 +60,8 @@ def repeated_word_spans(documents: DataFrame, id: str = "doc_id", text: str = "t
         smaller(F.col("least")).alias("whole"),
     )
     hits = hits.where(F.when(F.col("mask").isNull(), F.col("whole")).otherwise(F.array_contains("mask", True)))
-    return hits.groupBy("id", "key").agg(F.collect_list(F.struct("start", "n", "mask")).alias("spans"))
+    # rows that are equal in id and text have equal spans: a set holds them once, before the exchange too
+    return hits.groupBy("id", "key").agg(F.collect_set(F.struct("start", "n", "mask")).alias("spans"))
 
 
 def covered(spans: pa.Array, first: np.ndarray, window: int) -> np.ndarray:

@@ -233,7 +233,8 @@ def repeated_byte_spans(
         "gram", "run", F.when(F.col("c") == 1, F.col("mask")).alias("mask"), (F.col("c") > 1).alias("whole")
     ).where("whole OR array_contains(mask, true)")
     hits = splittable_join(found.select("id", "key", "gram", "run", "start", "n"), verdict, ["gram", "run"])
-    return hits.groupBy("id", "key").agg(F.collect_list(F.struct("start", "n", "mask")).alias("spans"))
+    # rows that are equal in id and text have equal spans: a set holds them once, before the exchange too
+    return hits.groupBy("id", "key").agg(F.collect_set(F.struct("start", "n", "mask")).alias("spans"))
 
 
 def remove_repeated_bytes(

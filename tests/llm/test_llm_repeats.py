@@ -12,8 +12,8 @@ from hypothesis import strategies as st
 from statquarry.llm import sketch
 from statquarry.llm.arrays import utf8
 from statquarry.llm.repeats import Rule
-from statquarry.llm.substring_dedup import remove_repeated_words
-from statquarry.llm.suffix_dedup import common_prefixes, remove_repeated_bytes, suffix_array, without_repeats
+from statquarry.llm.substring_dedup import remove_repeated_words, repeated_word_spans
+from statquarry.llm.suffix_dedup import common_prefixes, remove_repeated_bytes, repeated_byte_spans, suffix_array, without_repeats
 
 
 def plain_words(rows, size):
@@ -95,6 +95,14 @@ def test_a_small_sketch_loses_nothing(spark):
     assert byte_result(remove_repeated_bytes(documents(spark, rows), rule=rule)) == plain_bytes(rows, 20)
 
 
+def test_equal_rows_share_one_list_of_spans(spark):
+    text = prose(3, 80)
+    table = documents(spark, [(1, text)] + [(5, text)] * 30 + [(None, text)] * 30)
+    for spans in (repeated_word_spans(table, rule=Rule(5, 2)), repeated_byte_spans(table, rule=Rule(40, 16))):
+        found = [r.spans for r in spans.collect()]
+        assert len(found) >= 2 and all(len(held) == len({(s.start, s.n) for s in held}) for held in found)
+
+
 def test_empty_tables(spark):
     assert remove_repeated_words(empty(spark)).collect() == []
     assert remove_repeated_bytes(empty(spark)).collect() == []

@@ -9,7 +9,7 @@ from awkward import corpus, documents, empty
 from tokenizers import Tokenizer
 
 from statquarry.llm import transducer
-from statquarry.llm.packing import Capacities, pack, plan
+from statquarry.llm.packing import Capacities, in_lots, pack, plan, token_pieces
 from statquarry.llm.tokens import count_tokens
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -81,6 +81,12 @@ def test_tightest_room():
     assert tree.tightest(6) == 90
 
 
+def test_equal_rows_are_dealt_to_many_lots(spark):
+    pieces = token_pieces(documents(spark, [(5, "the same text")] * 300 + [(None, "same")] * 300), PATH, 64, 1)
+    sizes = [r["count"] for r in in_lots(pieces, 60).groupBy("lot").count().collect()]
+    assert sum(sizes) == 600 and max(sizes) < 100
+
+
 def test_pieces_fill_sequences_without_gaps(spark, library):
     rows = corpus() + [(100 + k, t) for k, t in enumerate(HARD)]
     capacity = 64
