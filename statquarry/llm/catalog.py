@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statquarry.llm import decontaminate, html_text, packing, quality, simhash, substring_dedup, suffix_dedup, tokens, toxicity, warc
+from statquarry.llm import (
+    decontaminate, fill_middle, html_text, packing, quality, simhash, substring_dedup, suffix_dedup, tokens, toxicity, warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -122,3 +124,27 @@ def op9_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_warc")
 def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(table(spark, folder, "pages"), least_bytes=0)
+
+
+@query(
+    "op11_fill_in_middle",
+    """
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+                      sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS x FROM documents),
+    h AS (SELECT *, len(u) AS n, ('0x' || x[1:8])::BIGINT AS h1, ('0x' || x[9:16])::BIGINT AS h2,
+                 ('0x' || x[17:24])::BIGINT AS h3, ('0x' || x[25:32])::BIGINT AS h4 FROM d),
+    f AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high,
+                 CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90
+                      THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+    p AS (SELECT *, array_to_string(u[1:low], '') AS pre, array_to_string(u[low + 1:high], '') AS mid,
+                 array_to_string(u[high + 1:], '') AS suf FROM f)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                  ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256
+    FROM p""",
+)
+def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_middle.restore(fill_middle.fill_in_middle(table(spark, folder, "documents"))).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"
+    )
