@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statquarry.llm import (
-    decontaminate, fill_middle, html_text, packing, quality, simhash, substring_dedup, suffix_dedup, tokens, toxicity, warc,
+    decontaminate, fill_middle, html_text, packing, periodic, quality, simhash, substring_dedup, suffix_dedup, tokens,
+    toxicity, warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -148,3 +149,18 @@ def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     return fill_middle.restore(fill_middle.fill_in_middle(table(spark, folder, "documents"))).select(
         "doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"
     )
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    texts = periodic.with_planted_runs(table(spark, folder, "documents"))
+    found = periodic.periodic_runs(texts, id="id")
+    ranked = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), -r["start"], -r["period"], r.alias("run")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.withColumn("longest", F.array_max(ranked)["run"]).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "longest.start", "longest.length", "longest.period",
+        F.expr("1000 * longest.length div longest.period").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("kept").cast("binary"), 256).alias("collapsed_sha256"),
+    )
