@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statquarry.llm import (
-    decontaminate, fill_middle, html_text, packing, periodic, quality, simhash, substring_dedup, suffix_dedup, tokens,
-    toxicity, warc,
+    decontaminate, fill_middle, html_text, mixing, packing, periodic, quality, simhash, substring_dedup, suffix_dedup,
+    tokens, toxicity, warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -164,3 +164,51 @@ def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("kept").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+@query(
+    "op13_source_mix",
+    r"""
+    WITH RECURSIVE d AS (
+        SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+               ('0x' || md5('1:' || doc_id || ':' || md5(coalesce(text, '')))[1:13])::BIGINT AS draw FROM documents),
+    s AS (SELECT source, source_size, CAST(1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS DOUBLE) AS w
+          FROM (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source)),
+    -- sources by the level at which they reach three times their size: how far does the level rise if the first ones do?
+    o AS (SELECT *, 3.0::DOUBLE * source_size AS cap, sum(source_size) OVER () AS total, row_number() OVER pre AS j,
+                 coalesce(sum(3 * source_size) OVER pre, 0) - 3 * source_size AS held, sum(w) OVER () - sum(w) OVER pre + w AS open_w
+          FROM s WINDOW pre AS (ORDER BY source_size / w, w, source ROWS UNBOUNDED PRECEDING)),
+    level AS (SELECT arg_min((total - held)::DOUBLE / open_w, j) AS level FROM o
+              WHERE cap > w * ((total - held)::DOUBLE / open_w)),
+    t AS (SELECT source, source_size, least(w * coalesce(level, 0), cap) AS target FROM o, level),
+    m AS (SELECT d.*, source_size, target, floor(least(3.0::DOUBLE, target / nullif(source_size, 0)))::BIGINT AS whole,
+                 least(3.0::DOUBLE, target / nullif(source_size, 0)) - whole AS chance
+          FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+    q AS (SELECT *, (draw + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u FROM m),
+    r AS (SELECT *, (u / (1.0::DOUBLE - u)) / (chance / (1.0::DOUBLE - chance)) AS odds FROM q WHERE chance > 0 AND size > 0),
+    k AS (SELECT *, floor(odds / (1.0::DOUBLE + odds) * 1125899906842624.0::DOUBLE)::BIGINT AS rank FROM r),
+    b AS (SELECT source, target - sum(whole * size)::BIGINT AS rest FROM m GROUP BY source, target),
+    c AS (SELECT k.*, rest, sum(size) OVER (PARTITION BY k.source ORDER BY rank, doc_id) AS upto
+          FROM k JOIN b ON k.source IS NOT DISTINCT FROM b.source),
+    gap AS (SELECT source, rest - coalesce(max(upto) FILTER (upto <= rest), 0) AS gap FROM c GROUP BY source, rest),
+    later AS (SELECT source, doc_id, size, rank, length(bin(size)) AS class FROM c WHERE upto > rest),
+    best AS (SELECT * FROM later QUALIFY row_number() OVER (PARTITION BY source, class ORDER BY rank, doc_id) <= 4),
+    cand AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY class DESC, rank, doc_id) AS j FROM best),
+    fold AS (SELECT source, 0::BIGINT AS j, gap, NULL::BIGINT AS doc_id FROM gap
+             UNION ALL
+             SELECT f.source, f.j + 1, CASE WHEN x.size <= f.gap THEN f.gap - x.size ELSE f.gap END,
+                    CASE WHEN x.size <= f.gap THEN x.doc_id END
+             FROM fold f JOIN cand x ON x.source IS NOT DISTINCT FROM f.source AND x.j = f.j + 1),
+    filled AS (SELECT source, min(gap) AS gap FROM fold GROUP BY source),
+    nearest AS (SELECT arg_min(x.doc_id, (abs(x.size - f.gap), x.j)) AS doc_id
+                FROM cand x JOIN filled f ON x.source IS NOT DISTINCT FROM f.source
+                WHERE x.size < 2 * f.gap AND x.doc_id NOT IN (SELECT doc_id FROM fold WHERE doc_id IS NOT NULL) GROUP BY x.source),
+    more AS (SELECT doc_id FROM c WHERE upto <= rest UNION ALL SELECT doc_id FROM fold WHERE doc_id IS NOT NULL
+             UNION ALL SELECT doc_id FROM nearest)
+    SELECT m.doc_id, size, source_size, target,
+           size * (coalesce(whole, 0) + CASE WHEN more.doc_id IS NULL THEN 0 ELSE 1 END)::BIGINT AS taken
+    FROM m LEFT JOIN more USING (doc_id)""",
+)
+def op13_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    found = mixing.mixed(table(spark, folder, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken")
