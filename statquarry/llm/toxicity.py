@@ -12,6 +12,7 @@ vector's product with the difference of the two output vectors.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -134,7 +135,7 @@ def train(texts: pa.Array | list[str], toxic: np.ndarray, settings: Settings = S
     toxic = np.asarray(toxic, float)
     line, begin, doc, word = vocabulary(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string()))
     number = len(begin) - 1
-    if not number or toxic.min() == toxic.max():
+    if not number or not 0 < toxic.sum() < len(toxic):
         share = (toxic.sum() + 0.01) / (len(toxic) + 1)
         return Model(np.zeros(1 << settings.bits, np.float32), float(np.log(share / (1 - share))), settings)
     head = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
@@ -217,8 +218,11 @@ def train(texts: pa.Array | list[str], toxic: np.ndarray, settings: Settings = S
     return Model(value.astype(np.float32), float(bias[1] - bias[0]), settings)
 
 
-def labelled(documents: DataFrame, labels: DataFrame, settings: Settings, id: str, text: str, label: str) -> tuple[pa.Array, np.ndarray]:
-    """The different words of a bounded sample of labelled documents, chosen by a hash of the id alone, and their labels."""
+def labelled(documents: DataFrame, labels: DataFrame, settings: Settings, id: str, text: str, label: str) -> DataFrame:
+    """(id, toxic, words): the different words of a bounded sample of labelled documents, chosen by a hash of the id alone.
+
+    Of texts that share an id the greatest is learned from.
+    """
     known = (
         labels.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{label}`").alias("toxic"))
         .where("id IS NOT NULL AND toxic IS NOT NULL AND crc32(cast(id AS string)) % 5 <> 0")
@@ -230,11 +234,39 @@ def labelled(documents: DataFrame, labels: DataFrame, settings: Settings, id: st
     ]
     chosen = F.broadcast(parts[0].union(parts[1]))  # max_toxic + max_clean rows at most
     words = F.array_join(F.array_distinct(F.split(F.translate("text", UPPER, LOWER), r"[\x20\x09-\x0D]+")), " ")
-    rows = texts_of(documents, id, text).join(chosen, "id").groupBy("id").agg(
-        F.max("toxic").alias("toxic"), F.max(words).alias("words")
-    ).orderBy("id").select("toxic", "words").toArrow()
-    words = rows.column("words").cast(pa.large_string()).combine_chunks()
-    return words.chunk(0) if isinstance(words, pa.ChunkedArray) else words, rows.column("toxic").to_numpy().astype(float)
+    return texts_of(documents, id, text).join(chosen, "id").groupBy("id").agg(
+        F.max("toxic").cast("double").alias("toxic"), F.max(words).alias("words")
+    )
+
+
+def fitted(documents: DataFrame, labels: DataFrame, settings: Settings, id: str, text: str, label: str) -> Model:
+    """The model of a bounded sample, trained in one task: the driver receives ``2 ** bits`` numbers and no text.
+
+    The task reads max_toxic + max_clean rows at most; a lost executor means that another one trains the same model.
+    """
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        if not held:
+            return
+        table = pa.Table.from_batches(held)
+        del held
+        words = table.column("words").cast(pa.large_string()).combine_chunks()
+        words = words.chunk(0) if isinstance(words, pa.ChunkedArray) else words
+        toxic = table.column("toxic").to_numpy()
+        del table
+        model = train(words, toxic, settings)
+        del words
+        pa.default_memory_pool().release_unused()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([model.weights.tobytes()], pa.binary()), pa.array([model.bias])], names=["weights", "bias"]
+        )
+
+    rows = labelled(documents, labels, settings, id, text, label).repartition(1).sortWithinPartitions("id")
+    found = rows.mapInArrow(fit, "weights binary, bias double").collect()
+    if not found:
+        return train([], np.zeros(0), settings)
+    return Model(np.frombuffer(bytes(found[0]["weights"]), np.float32), found[0]["bias"], settings)
 
 
 def toxicity(
@@ -246,7 +278,7 @@ def toxicity(
     Labels of ids whose crc32 leaves the remainder 0 by 5 are never read.  A text without words (empty, null) has a fixed
     low score.  Rows may repeat; a null id is not held out; an id labelled twice is toxic if one label says so.
     """
-    model = train(*labelled(documents, labels, settings, id, text, label), settings)
+    model = fitted(documents, labels, settings, id, text, label)
     shared = documents.sparkSession.sparkContext.broadcast(model)  # 2 ** bits numbers
 
     def run(part: pa.RecordBatch) -> pa.RecordBatch:
@@ -264,7 +296,7 @@ def without_toxic(
     text: str = "text", label: str = "toxic",
 ) -> DataFrame:
     """The documents that score below ``threshold``, with all their columns and without a shuffle."""
-    model = train(*labelled(documents, labels, settings, id, text, label), settings)
+    model = fitted(documents, labels, settings, id, text, label)
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(part: pa.RecordBatch) -> pa.RecordBatch:
