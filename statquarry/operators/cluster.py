@@ -1,43 +1,186 @@
-"""K-means with restarts, the elbow table and two-component PCA."""
+"""K-means of many runs side by side, the elbow table and PCA from moments.
+
+A *run* is one start for one number of clusters.  All runs of a fit or a sweep go through the data together: a pass carries
+the centres of every run, each task adds up its points by run and centre, and one aggregate merges these sums, whose number
+hangs on the runs only.  Starts are drawn from a bounded sample by farthest-first traversal, which is deterministic: the
+same table gives the same clusters whatever its layout.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator, Sequence
+from dataclasses import dataclass
 
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import PCA, StandardScaler
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from statquarry.operators.shape import q
 from statquarry.session import materialise
 
+START_SAMPLE = 2_000
+
+
+def _values(points: DataFrame, features: str) -> Column:
+    """The vector as an array of doubles."""
+    kind = dict(points.dtypes)[features]
+    return vector_to_array(q(features)) if kind == "vector" else q(features).cast("array<double>")
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    """Rows of equal length as a matrix."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _summed(points: DataFrame, partial, keys: Sequence[str]) -> list:
+    """Rows (keys, n, cost, total) that tasks make of their points, added up by key.  ``total`` is a vector."""
+    rows = points.mapInArrow(partial, ", ".join(f"{k} int" for k in keys) + ", n double, cost double, total array<double>")
+    merged = rows.groupBy(*keys).agg(
+        F.sum("n").alias("n"), F.sum("cost").alias("cost"), Summarizer.sum(array_to_vector("total")).alias("total")
+    )
+    return merged.select(*keys, "n", "cost", vector_to_array("total").alias("total")).collect()
+
+
+# ---- K-means ---------------------------------------------------------------------------------------------------
+@dataclass
+class KMeansFit:
+    """Centres of the best run; ``summary.trainingCost`` and ``transform`` are named as in Spark ML."""
+
+    centres: np.ndarray
+    trainingCost: float
+    features: str = "features"
+
+    @property
+    def summary(self) -> KMeansFit:
+        return self
+
+    def transform(self, points: DataFrame) -> DataFrame:
+        """All columns plus ``cluster``, the number of the nearest centre, the first of equally near ones."""
+        centres = self.centres
+
+        @F.pandas_udf("int")
+        def nearest(values: pd.Series) -> pd.Series:
+            return pd.Series(_distances(np.stack(values.to_numpy()), centres).argmin(axis=1).astype(np.int32))
+
+        return points.withColumn("cluster", nearest(_values(points, self.features)))
+
 
-def _fit(points: DataFrame, k: int, seed: int, features: str, max_iter: int) -> KMeansModel:
-    return KMeans(k=k, seed=seed, featuresCol=features, predictionCol="cluster", maxIter=max_iter).fit(points)
+def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances but for the term that is the same for all centres of a point."""
+    return (centres * centres).sum(axis=1) - 2 * (x @ centres.T)
 
 
-def _best(points: DataFrame, k: int, n_init: int, seed: int, features: str, max_iter: int) -> KMeansModel:
-    fits = (_fit(points, k, seed + i, features, max_iter) for i in range(n_init))
-    return min(fits, key=lambda model: model.summary.trainingCost)
+def start_sample(points: DataFrame, features: str, key: str | None, seed: int, size: int = START_SAMPLE) -> np.ndarray:
+    """``size`` points at most, in the order of a hash of their key (or of their values) and the seed."""
+    values = _values(points, features)
+    name = values.cast("string") if key is None else q(key).cast("string")
+    rows = points.select(values.alias("values"), name.alias("name")).withColumn(
+        "order", F.md5(F.concat_ws("/", "name", F.lit(str(seed))))
+    )
+    found = rows.orderBy("order", "name").limit(size).select("values").collect()
+    return np.array([r[0] for r in found], float)
 
 
-def _stored(points: DataFrame, features: str, stored: bool) -> DataFrame:
-    """The vectors, written once for several fits.
+def farthest_first(sample: np.ndarray, k: int, first: int) -> np.ndarray:
+    """``k`` points of the sample: number ``first``, then again and again the one farthest from those chosen so far."""
+    chosen = [first % len(sample)]
+    far = np.full(len(sample), np.inf)
+    while len(chosen) < k:
+        far = np.minimum(far, ((sample - sample[chosen[-1]]) ** 2).sum(axis=1))
+        chosen.append(int(far.argmax()))
+    return sample[chosen]
 
-    Not cached as a DataFrame: a fit keeps its own decoded copy of an uncached input, which its iterations read faster.
+
+def lloyd(
+    points: DataFrame, starts: Sequence[np.ndarray], features: str = "features", max_iter: int = 100, tol: float = 1e-12
+) -> list[KMeansFit]:
+    """Run Lloyd's iterations from every start, all runs in the same passes.
+
+    A run rests when its centres move by less than ``tol`` (sum of squares); then it is no longer carried.  A cluster that
+    loses all its points keeps its centre.  ``trainingCost`` is the inertia about the final centres.
     """
-    return points if stored else materialise(points.select(features))
+    values = points.select(_values(points, features).alias("values"))
+    centres = [np.array(s, float) for s in starts]
+    cost = np.zeros(len(centres))
+    moving = list(range(len(centres)))
+    for turn in range(max_iter + 1):
+        shared = points.sparkSession.sparkContext.broadcast([(r, centres[r]) for r in moving])
+
+        def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            runs = shared.value
+            stacked = np.concatenate([c for _, c in runs])
+            edges = np.cumsum([0, *(len(c) for _, c in runs)])
+            n, near, total = np.zeros(len(stacked)), np.zeros(len(stacked)), np.zeros(stacked.shape)
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                x = _matrix(batch.column(0))
+                distances = _distances(x, stacked)
+                for low, high in zip(edges[:-1], edges[1:]):
+                    own = low + distances[:, low:high].argmin(axis=1)
+                    n += np.bincount(own, minlength=len(n))
+                    near += np.bincount(own, ((x - stacked[own]) ** 2).sum(axis=1), len(n))
+                    order = np.argsort(own, kind="stable")
+                    heads = np.flatnonzero(np.diff(own[order], prepend=-1))
+                    total[own[order[heads]]] += np.add.reduceat(x[order], heads, axis=0)
+            seen = np.flatnonzero(n)
+            run = np.repeat([r for r, _ in runs], np.diff(edges))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(run[seen].astype(np.int32)), pa.array((np.arange(len(n)) - edges[:-1].repeat(np.diff(edges)))[seen].astype(np.int32)),
+                 pa.array(n[seen]), pa.array(near[seen]), pa.array(list(total[seen]), pa.list_(pa.float64()))],
+                names=["run", "centre", "n", "cost", "total"],
+            )
+
+        found = _summed(values, partial, ["run", "centre"])
+        shared.destroy()
+        cost[moving] = 0.0
+        moved = {r: centres[r].copy() for r in moving}
+        for row in found:
+            cost[row["run"]] += row["cost"]
+            moved[row["run"]][row["centre"]] = np.array(row["total"]) / row["n"]
+        if turn == max_iter:
+            break
+        moving = [r for r in moving if ((moved[r] - centres[r]) ** 2).sum() > tol]
+        for r in moving:
+            centres[r] = moved[r]
+        if not moving:
+            break
+    return [KMeansFit(c, float(x), features) for c, x in zip(centres, cost)]
+
+
+def sweep(
+    points: DataFrame, k_range: Iterable[int], n_init: int, seed: int, features: str, max_iter: int, key: str | None = None,
+    stored: bool = False,
+) -> dict[int, KMeansFit]:
+    """The best fit of ``n_init`` starts for every number of clusters; the first of equally good ones."""
+    wanted = list(dict.fromkeys(k_range))
+    if not wanted:
+        return {}
+    if min(wanted) < 1 or n_init < 1:
+        raise ValueError("clusters and starts are counted from 1")
+    kept = points if stored else materialise(points.select(*([] if key is None else [key]), features))
+    sample = start_sample(kept, features, key, seed)
+    if not len(sample):
+        return {}
+    # a traversal holds that of every smaller number of clusters at its beginning
+    longest = [farthest_first(sample, max(wanted), r) for r in range(n_init)]
+    fits = lloyd(kept, [longest[r][:k] for k in wanted for r in range(n_init)], features, max_iter)
+    return {k: min(fits[i * n_init : (i + 1) * n_init], key=lambda f: f.trainingCost) for i, k in enumerate(wanted)}
 
 
 def best_kmeans(
     points: DataFrame, k: int, n_init: int = 10, seed: int = 42, features: str = "features", max_iter: int = 100,
-    stored: bool = False,
-) -> KMeansModel:
-    """The fit with the least inertia out of ``n_init`` seeded starts.  ``stored``: ``points`` is cheap to read again."""
-    kept = _stored(points, features, stored or n_init == 1)
-    return _best(kept, k, n_init, seed, features, max_iter)
+    stored: bool = False, key: str | None = None,
+) -> KMeansFit:
+    """The fit with the least inertia out of ``n_init`` starts.  ``stored``: ``points`` is cheap to read again.
+
+    ``key`` names a unique column whose hash draws the starts; without it the values are hashed.
+    """
+    return sweep(points, [k], n_init, seed, features, max_iter, key, stored)[k]
 
 
 def total_inertia(points: DataFrame, features: str = "features") -> float:
@@ -56,18 +199,14 @@ def elbow(
     features: str = "features",
     max_iter: int = 100,
     stored: bool = False,
+    key: str | None = None,
 ) -> DataFrame:
     """``k, inertia``, one row per tried ``k``."""
-    kept = _stored(points, features, stored)
-    rows = [
-        (k, total_inertia(kept, features) if k == 1
-         else float(_best(kept, k, n_init, seed, features, max_iter).summary.trainingCost))
-        for k in k_range
-    ]
-    return points.sparkSession.createDataFrame(rows, "k int, inertia double")
+    fits = sweep(points, k_range, n_init, seed, features, max_iter, key, stored)
+    return points.sparkSession.createDataFrame([(k, f.trainingCost) for k, f in fits.items()], "k int, inertia double")
 
 
-def assign_clusters(points: DataFrame, model: KMeansModel) -> DataFrame:
+def assign_clusters(points: DataFrame, model: KMeansFit) -> DataFrame:
     """All columns plus ``cluster``; the row keeps its own columns, so nothing is joined back."""
     return model.transform(points)
 
@@ -78,31 +217,67 @@ def check_k(k: int, n_rows: int) -> int:
     return k
 
 
+def cluster_sizes(assigned: DataFrame) -> DataFrame:
+    return assigned.groupBy("cluster").agg(F.count("*").alias("n"))
+
+
+# ---- principal components -----------------------------------------------------------------------------------------
+def moments(points: DataFrame, features: str = "features") -> tuple[int, np.ndarray, np.ndarray]:
+    """Number of points, mean and covariance (divided by n - 1), in one aggregate of d + 1 vectors for each task.
+
+    Products are taken about one of the points, so that large means don't drown small deviations.
+    """
+    values = points.select(_values(points, features).alias("values"))
+    first = values.first()
+    if first is None:
+        raise ValueError("no points")
+    origin = np.array(first[0], float)
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total, products = 0, np.zeros(len(origin)), np.zeros((len(origin), len(origin)))
+        for batch in batches:
+            if batch.num_rows:
+                x = _matrix(batch.column(0)) - origin
+                n, total, products = n + len(x), total + x.sum(axis=0), products + x.T @ x
+        rows = np.vstack([total, products])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(len(rows), dtype=np.int32)), pa.array(np.full(len(rows), float(n))),
+             pa.array(np.zeros(len(rows))), pa.array(list(rows), pa.list_(pa.float64()))],
+            names=["line", "n", "cost", "total"],
+        )
+
+    found = sorted(_summed(values, partial, ["line"]))
+    n, rows = found[0]["n"], np.array([r["total"] for r in found])
+    shift = rows[0] / n
+    covariance = (rows[1:] - n * np.outer(shift, shift)) / max(n - 1, 1)
+    return int(n), origin + shift, (covariance + covariance.T) / 2
+
+
 class CentredPCA:
     """PCA of the centred matrix with a fixed sign: the largest loading of each component is positive."""
 
     def __init__(self, points: DataFrame, components: int = 2, features: str = "features"):
         self.features = features
-        centre = StandardScaler(withMean=True, withStd=False, inputCol=features, outputCol="centred__")
-        self.centre = centre.fit(points)
-        centred = self.centre.transform(points.select(features))
-        self.model = PCA(k=components, inputCol="centred__", outputCol="pca__").fit(centred)
-        loadings = self.model.pc.toArray()
-        self.signs = [1.0 if column[abs(column).argmax()] >= 0 else -1.0 for column in loadings.T]
+        self.n, self.mean, covariance = moments(points, features)
+        values, vectors = np.linalg.eigh(covariance)
+        order = np.argsort(-values, kind="stable")[:components]
+        loadings = vectors[:, order].T
+        self.loadings = loadings * np.where(loadings[np.arange(len(order)), np.abs(loadings).argmax(axis=1)] >= 0, 1.0, -1.0)[:, None]
+        total = np.trace(covariance)
+        self.shares = [float(x / total) if total > 0 else 0.0 for x in values[order]]
 
     def transform(self, points: DataFrame) -> DataFrame:
         """All columns plus ``pca1, pca2, …``."""
-        projected = self.model.transform(self.centre.transform(points))
-        parts = vector_to_array("pca__")
-        return projected.withColumns(
-            {f"pca{i + 1}": F.lit(s) * F.get(parts, F.lit(i)) for i, s in enumerate(self.signs)}
-        ).drop("centred__", "pca__")
+        values = _values(points, self.features)
+
+        def projected(loading: np.ndarray) -> Column:
+            weights = F.array(*[F.lit(float(w)) for w in loading])
+            dot = F.aggregate(F.zip_with(values, weights, lambda x, w: x * w), F.lit(0.0), lambda s, x: s + x)
+            return dot - F.lit(float(self.mean @ loading))
+
+        return points.withColumns({f"pca{i + 1}": projected(loading) for i, loading in enumerate(self.loadings)})
 
     @property
     def explained(self) -> list[float]:
         """Share of the total variance per component."""
-        return [float(x) for x in self.model.explainedVariance]
-
-
-def cluster_sizes(assigned: DataFrame) -> DataFrame:
-    return assigned.groupBy("cluster").agg(F.count("*").alias("n"))
+        return self.shares

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from statquarry.functions import parsing
 from statquarry.operators import cluster, distribution, joins, ordering, prepare, ranking, shape, stats, valuation
 from statquarry.operators import neighbours as knn
-from statquarry.plans import views
+from statquarry.plans import model_sql, views
 from statquarry.plans.views import TEXT_COLUMNS, profile, profile_long, table, with_views
 from statquarry.sources import pages as page_source
 
@@ -976,42 +976,79 @@ def one_hot(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-# ---- models: no SQL form ----------------------------------------------------------------------------------------------------
+# ---- clustering -------------------------------------------------------------------------------------------------------------
 def _points(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings")
     return vectors.select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
 
 
-@query("kmeans_elbow")
+@query(
+    "kmeans_elbow",
+    "WITH RECURSIVE" + model_sql.kmeans(range(3, 16), 1, 30)
+    + " SELECT CAST(k AS INTEGER) AS k, round(min(cost), 4) AS inertia FROM costs GROUP BY k",
+)
 def kmeans_elbow(spark: SparkSession, folder: str) -> DataFrame:
-    found = cluster.elbow(_points(spark, folder), range(1, 9), n_init=1, max_iter=30)
-    return rounded(found, "inertia")
+    """The later edition's sweep: 3 to 15 clusters, one start."""
+    return rounded(cluster.elbow(_points(spark, folder), range(3, 16), max_iter=30, key="vec_id"), "inertia")
+
 
+@query(
+    "kmeans_elbow_restarts",
+    "WITH RECURSIVE" + model_sql.kmeans(range(1, 11), 10, 10)
+    + " SELECT CAST(k AS INTEGER) AS k, round(min(cost), 4) AS inertia FROM costs GROUP BY k",
+)
+def kmeans_elbow_restarts(spark: SparkSession, folder: str) -> DataFrame:
+    """The earlier edition's sweep: 1 to 10 clusters, ten starts each, ten turns."""
+    return rounded(cluster.elbow(_points(spark, folder), range(1, 11), n_init=10, max_iter=10, key="vec_id"), "inertia")
 
-@query("kmeans_assign")
+
+_BEST = "(SELECT arg_min(r, (cost, r)) FROM costs)"
+
+
+@query(
+    "kmeans_assign",
+    "WITH RECURSIVE" + model_sql.kmeans(range(10, 11), 10, 30)
+    + f" SELECT id AS vec_id, CAST(c AS INTEGER) AS cluster FROM placed WHERE r = {_BEST}",
+)
 def kmeans_assign(spark: SparkSession, folder: str) -> DataFrame:
     points = _points(spark, folder)
-    model = cluster.best_kmeans(points, 10, n_init=3, max_iter=30)
+    model = cluster.best_kmeans(points, 10, n_init=10, max_iter=30, key="vec_id")
     return cluster.assign_clusters(points, model).select("vec_id", "cluster")
 
 
-@query("pca_points")
+@query(
+    "pca_points",
+    "WITH RECURSIVE" + model_sql.COMPONENTS + " SELECT id AS vec_id, round(pca1, 6) AS pca1, round(pca2, 6) AS pca2 FROM projected",
+)
 def pca_points(spark: SparkSession, folder: str) -> DataFrame:
     points = _points(spark, folder)
     return rounded(cluster.CentredPCA(points).transform(points).select("vec_id", "pca1", "pca2"), "pca1", "pca2", places=6)
 
 
-@query("pca_variance")
+_SHARE = "round(size / (SELECT sum(v) FROM cov WHERE i = j), 6) AS share"
+
+
+@query(
+    "pca_variance",
+    "WITH RECURSIVE" + model_sql.COMPONENTS
+    + f" SELECT 1 AS component, {_SHARE} FROM one_size UNION ALL SELECT 2, {_SHARE} FROM two_size",
+)
 def pca_variance(spark: SparkSession, folder: str) -> DataFrame:
     shares = cluster.CentredPCA(_points(spark, folder)).explained
     rows = [(i + 1, s) for i, s in enumerate(shares)]
     return rounded(spark.createDataFrame(rows, "component int, share double"), "share", places=6)
 
 
-@query("cluster_points")
+@query(
+    "cluster_points",
+    "WITH RECURSIVE" + model_sql.kmeans(range(10, 11), 10, 30) + "," + model_sql.COMPONENTS
+    + f""" SELECT id AS vec_id, round(pca1, 6) AS pca1, round(pca2, 6) AS pca2, CAST(c AS INTEGER) AS cluster,
+                  count(*) OVER (PARTITION BY c) AS cluster_size
+           FROM placed JOIN projected USING (id) WHERE r = {_BEST}""",
+)
 def cluster_points(spark: SparkSession, folder: str) -> DataFrame:
     points = _points(spark, folder)
-    assigned = cluster.assign_clusters(points, cluster.best_kmeans(points, 10, n_init=1, max_iter=30))
+    assigned = cluster.assign_clusters(points, cluster.best_kmeans(points, 10, n_init=10, max_iter=30, key="vec_id"))
     placed = cluster.CentredPCA(points).transform(assigned)
     sizes = cluster.cluster_sizes(assigned).withColumnRenamed("n", "cluster_size")
     return rounded(

@@ -83,3 +83,54 @@ def test_draws_stay_in_the_search_space():
 def test_back_to_scale(spark):
     df = spark.createDataFrame([(0.0,), (1.0,), (-0.5,)], "p double").select(valuation.back_to_scale(F.col("p")).alias("o"))
     assert [r["o"] for r in df.collect()] == pytest.approx([0.0, np.e - 1, 0.0])
+
+
+def plain_lloyd(x, centres, turns):
+    centres = np.array(centres, float)
+    for _ in range(turns):
+        own = ((x[:, None] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
+        centres = np.array([x[own == c].mean(axis=0) if (own == c).any() else old for c, old in enumerate(centres)])
+    return centres, ((x[:, None] - centres[None]) ** 2).sum(axis=2).min(axis=1).sum()
+
+
+def test_runs_side_by_side_equal_runs_alone(blobs):
+    x = np.array([r["x"] for r in blobs.orderBy("id").select("x").collect()])
+    starts = [x[:3], x[[0, 0, 1, 5]], x[[7]], x[10:22]]
+    for turns in (0, 1, 2, 50):
+        for fit, start in zip(cluster.lloyd(blobs, starts, max_iter=turns), starts):
+            centres, cost = plain_lloyd(x, start, turns)
+            assert np.allclose(fit.centres, centres) and fit.trainingCost == pytest.approx(cost)
+
+
+def test_starts_hang_on_the_data_only(blobs):
+    a = cluster.best_kmeans(blobs, 5, n_init=3, key="id")
+    b = cluster.best_kmeans(blobs.repartition(7).orderBy(F.desc("id")), 5, n_init=3, key="id")
+    assert np.allclose(a.centres, b.centres)
+    sample = cluster.start_sample(blobs, "features", "id", 42, size=50)
+    assert len(sample) == 50 and np.array_equal(sample[:10], cluster.start_sample(blobs, "features", "id", 42, size=10))
+
+
+def test_farthest_first_takes_the_farthest():
+    x = np.array([[0.0], [1.0], [5.0], [9.0], [9.0]])
+    assert cluster.farthest_first(x, 4, 0).ravel().tolist() == [0, 9, 5, 1]
+    assert cluster.farthest_first(x, 1, 7).ravel().tolist() == [5]
+
+
+def test_fewer_points_than_clusters(spark):
+    df = spark.createDataFrame([(k, [float(k % 2)]) for k in range(6)], "id int, features array<double>")
+    model = cluster.best_kmeans(df, 4, n_init=2, key="id")
+    assert model.trainingCost == 0 and {r["n"] for r in cluster.cluster_sizes(model.transform(df)).collect()} == {3}
+    assert cluster.elbow(df.where("id < 0"), range(1, 3)).collect() == []
+    with pytest.raises(ValueError):
+        cluster.sweep(df, [0], 1, 42, "features", 5)
+
+
+def test_moments_far_from_zero(spark):
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((400, 3)) @ np.diag([3.0, 1.0, 0.1]) + 1e7
+    df = spark.createDataFrame([(row.tolist(),) for row in x], "features array<double>").repartition(5)
+    n, mean, covariance = cluster.moments(df)
+    assert n == 400 and np.allclose(mean, x.mean(0)) and np.allclose(covariance, np.cov(x.T), atol=1e-6)
+    assert cluster.CentredPCA(df, 3).explained == pytest.approx((np.linalg.eigvalsh(np.cov(x.T))[::-1] / np.cov(x.T).trace()).tolist(), abs=1e-6)
+    with pytest.raises(ValueError):
+        cluster.moments(df.where("1 = 0"))
