@@ -14,37 +14,17 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from statquarry.operators.partials import matrix, summed, values_of
 from statquarry.operators.shape import q
 from statquarry.session import materialise
 
 START_SAMPLE = 2_000
 
 
-def _values(points: DataFrame, features: str) -> Column:
-    """The vector as an array of doubles."""
-    kind = dict(points.dtypes)[features]
-    return vector_to_array(q(features)) if kind == "vector" else q(features).cast("array<double>")
-
-
-def _matrix(column: pa.Array) -> np.ndarray:
-    """Rows of equal length as a matrix."""
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
-
-
-def _summed(points: DataFrame, partial, keys: Sequence[str]) -> list:
-    """Rows (keys, n, cost, total) that tasks make of their points, added up by key.  ``total`` is a vector."""
-    rows = points.mapInArrow(partial, ", ".join(f"{k} int" for k in keys) + ", n double, cost double, total array<double>")
-    merged = rows.groupBy(*keys).agg(
-        F.sum("n").alias("n"), F.sum("cost").alias("cost"), Summarizer.sum(array_to_vector("total")).alias("total")
-    )
-    return merged.select(*keys, "n", "cost", vector_to_array("total").alias("total")).collect()
-
-
 # ---- K-means ---------------------------------------------------------------------------------------------------
 @dataclass
 class KMeansFit:
@@ -66,7 +46,7 @@ class KMeansFit:
         def nearest(values: pd.Series) -> pd.Series:
             return pd.Series(_distances(np.stack(values.to_numpy()), centres).argmin(axis=1).astype(np.int32))
 
-        return points.withColumn("cluster", nearest(_values(points, self.features)))
+        return points.withColumn("cluster", nearest(values_of(points, self.features)))
 
 
 def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -76,7 +56,7 @@ def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
 
 def start_sample(points: DataFrame, features: str, key: str | None, seed: int, size: int = START_SAMPLE) -> np.ndarray:
     """``size`` points at most, in the order of a hash of their key (or of their values) and the seed."""
-    values = _values(points, features)
+    values = values_of(points, features)
     name = values.cast("string") if key is None else q(key).cast("string")
     rows = points.select(values.alias("values"), name.alias("name")).withColumn(
         "order", F.md5(F.concat_ws("/", "name", F.lit(str(seed))))
@@ -103,45 +83,39 @@ def lloyd(
     A run rests when its centres move by less than ``tol`` (sum of squares); then it is no longer carried.  A cluster that
     loses all its points keeps its centre.  ``trainingCost`` is the inertia about the final centres.
     """
-    values = points.select(_values(points, features).alias("values"))
+    values = points.select(values_of(points, features).alias("values"))
     centres = [np.array(s, float) for s in starts]
     cost = np.zeros(len(centres))
     moving = list(range(len(centres)))
     for turn in range(max_iter + 1):
         shared = points.sparkSession.sparkContext.broadcast([(r, centres[r]) for r in moving])
 
-        def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def partial(batches: Iterator[pa.RecordBatch]):
             runs = shared.value
             stacked = np.concatenate([c for _, c in runs])
             edges = np.cumsum([0, *(len(c) for _, c in runs)])
-            n, near, total = np.zeros(len(stacked)), np.zeros(len(stacked)), np.zeros(stacked.shape)
+            lines = np.zeros((len(stacked), 2 + stacked.shape[1]))  # points, squared distances, sum of points
             for batch in batches:
-                if not batch.num_rows:
-                    continue
-                x = _matrix(batch.column(0))
+                x = matrix(batch.column(0))
                 distances = _distances(x, stacked)
                 for low, high in zip(edges[:-1], edges[1:]):
                     own = low + distances[:, low:high].argmin(axis=1)
-                    n += np.bincount(own, minlength=len(n))
-                    near += np.bincount(own, ((x - stacked[own]) ** 2).sum(axis=1), len(n))
+                    lines[:, 0] += np.bincount(own, minlength=len(lines))
+                    lines[:, 1] += np.bincount(own, ((x - stacked[own]) ** 2).sum(axis=1), len(lines))
                     order = np.argsort(own, kind="stable")
                     heads = np.flatnonzero(np.diff(own[order], prepend=-1))
-                    total[own[order[heads]]] += np.add.reduceat(x[order], heads, axis=0)
-            seen = np.flatnonzero(n)
+                    lines[own[order[heads]], 2:] += np.add.reduceat(x[order], heads, axis=0)
+            seen = np.flatnonzero(lines[:, 0])
             run = np.repeat([r for r, _ in runs], np.diff(edges))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(run[seen].astype(np.int32)), pa.array((np.arange(len(n)) - edges[:-1].repeat(np.diff(edges)))[seen].astype(np.int32)),
-                 pa.array(n[seen]), pa.array(near[seen]), pa.array(list(total[seen]), pa.list_(pa.float64()))],
-                names=["run", "centre", "n", "cost", "total"],
-            )
+            yield (run[seen], (np.arange(len(lines)) - np.repeat(edges[:-1], np.diff(edges)))[seen]), lines[seen]
 
-        found = _summed(values, partial, ["run", "centre"])
+        found = summed(values, partial, ["run", "centre"])
         shared.destroy()
         cost[moving] = 0.0
         moved = {r: centres[r].copy() for r in moving}
-        for row in found:
-            cost[row["run"]] += row["cost"]
-            moved[row["run"]][row["centre"]] = np.array(row["total"]) / row["n"]
+        for (run, centre), line in found.items():
+            cost[run] += line[1]
+            moved[run][centre] = line[2:] / line[0]
         if turn == max_iter:
             break
         moving = [r for r in moving if ((moved[r] - centres[r]) ** 2).sum() > tol]
@@ -227,27 +201,23 @@ def moments(points: DataFrame, features: str = "features") -> tuple[int, np.ndar
 
     Products are taken about one of the points, so that large means don't drown small deviations.
     """
-    values = points.select(_values(points, features).alias("values"))
+    values = points.select(values_of(points, features).alias("values"))
     first = values.first()
     if first is None:
         raise ValueError("no points")
     origin = np.array(first[0], float)
 
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, total, products = 0, np.zeros(len(origin)), np.zeros((len(origin), len(origin)))
+    def partial(batches: Iterator[pa.RecordBatch]):
+        lines = np.zeros((len(origin) + 1, len(origin) + 1))  # number of points with every line; sums, then products
         for batch in batches:
-            if batch.num_rows:
-                x = _matrix(batch.column(0)) - origin
-                n, total, products = n + len(x), total + x.sum(axis=0), products + x.T @ x
-        rows = np.vstack([total, products])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(len(rows), dtype=np.int32)), pa.array(np.full(len(rows), float(n))),
-             pa.array(np.zeros(len(rows))), pa.array(list(rows), pa.list_(pa.float64()))],
-            names=["line", "n", "cost", "total"],
-        )
-
-    found = sorted(_summed(values, partial, ["line"]))
-    n, rows = found[0]["n"], np.array([r["total"] for r in found])
+            x = matrix(batch.column(0)) - origin
+            lines[:, 0] += len(x)
+            lines[0, 1:] += x.sum(axis=0)
+            lines[1:, 1:] += x.T @ x
+        yield (np.arange(len(lines)),), lines
+
+    found = summed(values, partial, ["line_no"])
+    n, rows = found[0,][0], np.array([found[k,][1:] for k in range(len(origin) + 1)])
     shift = rows[0] / n
     covariance = (rows[1:] - n * np.outer(shift, shift)) / max(n - 1, 1)
     return int(n), origin + shift, (covariance + covariance.T) / 2
@@ -268,7 +238,7 @@ class CentredPCA:
 
     def transform(self, points: DataFrame) -> DataFrame:
         """All columns plus ``pca1, pca2, …``."""
-        values = _values(points, self.features)
+        values = values_of(points, self.features)
 
         def projected(loading: np.ndarray) -> Column:
             weights = F.array(*[F.lit(float(w)) for w in loading])

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statquarry.functions.parsing import clamp_zero
+from statquarry.operators.boosting import Boosted, Search, Trial
 from statquarry.operators.shape import q
 
 # ---- fixed values: search space of the value model ----------------------------------------------------------
@@ -57,6 +58,36 @@ def draw_params(n: int = DRAWS, seed: int = SEED, trees: tuple[int, int] = TREES
     ]
 
 
+def draw_trials(n: int = DRAWS, seed: int = SEED, trees: tuple[int, int] = TREES) -> list[Trial]:
+    """Random draws from the search space, as trials of ``boosting``; the smallest node that may split is itself a parameter."""
+    rng = random.Random(seed)
+    return [
+        Trial(
+            trees=rng.randint(*trees), rate=rng.uniform(*LEARNING_RATE), depth=rng.randint(*DEPTH),
+            min_split=rng.randint(*MIN_SPLIT), subsample=rng.uniform(*SUBSAMPLE),
+        )
+        for _ in range(n)
+    ]
+
+
+def score_table(found: Search, df: DataFrame) -> DataFrame:
+    """``draw, fold, trees, rate, depth, min_split, subsample, r2``: one row for each draw and fold."""
+    rows = [
+        (d, f, t.trees, t.rate, t.depth, t.min_split, t.subsample, score)
+        for d, f, score in found.scores for t in [found.draws[d]]
+    ]
+    return df.sparkSession.createDataFrame(
+        rows, "draw int, fold int, trees int, rate double, depth int, min_split int, subsample double, r2 double"
+    )
+
+
+def gain_table(model: Boosted, names: Sequence[str], df: DataFrame, k: int = 20) -> DataFrame:
+    """``feature, importance`` by the gain of splits, the ``k`` largest."""
+    rows = [(name, float(w)) for name, w in zip(names, model.importances())]
+    table = df.sparkSession.createDataFrame(rows, "feature string, importance double")
+    return table.orderBy(F.desc("importance"), "feature").limit(k)
+
+
 def regressor(features: str, label: str, seed: int = SEED, **params) -> GBTRegressor:
     return GBTRegressor(
         featuresCol=features, labelCol=label, predictionCol="predicted_log", lossType="squared", seed=seed,
@@ -89,7 +120,7 @@ def back_to_scale(predicted_log: Column) -> Column:
     return clamp_zero(F.expm1(predicted_log))
 
 
-def predict(model: GBTRegressionModel, df: DataFrame) -> DataFrame:
+def predict(model: GBTRegressionModel | Boosted, df: DataFrame) -> DataFrame:
     """All columns plus ``predicted`` on the original scale."""
     return model.transform(df).withColumn("predicted", back_to_scale(F.col("predicted_log")))
 

@@ -7,13 +7,14 @@ checked by invariants in the tests.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statquarry.functions import parsing
-from statquarry.operators import cluster, distribution, joins, ordering, prepare, ranking, shape, stats, valuation
+from statquarry.operators import boosting, cluster, distribution, joins, ordering, prepare, ranking, shape, stats, valuation
 from statquarry.operators import neighbours as knn
 from statquarry.plans import model_sql, views
 from statquarry.plans.views import TEXT_COLUMNS, profile, profile_long, table, with_views
@@ -1076,37 +1077,96 @@ def train_test_split(spark: SparkSession, folder: str) -> DataFrame:
 
 _GBT_NUMBERS = ["acctbal", "max_order", "n_orders"]
 _GBT_CATEGORIES = ["segment", "n_name"]
+_ONE_TRIAL = boosting.Trial(trees=10, rate=0.1, depth=3)
+_DRAWS = valuation.draw_trials(3, trees=(3, 6))
+_IN_TEST = "CAST('0x' || left(md5(id || '/42'), 8) AS BIGINT) % 100 < 20"
 
 
-def _value_model(spark: SparkSession, folder: str):
+def _gbt_sql(trials: list[boosting.Trial]) -> str:
+    """The value model over the view with gaps, in SQL: features, then the trees of all trials."""
+    return with_views("gaps") + f""",
+    data AS MATERIALIZED (SELECT c_custkey AS id, c_name, order_value, {', '.join(_GBT_NUMBERS)},
+                 {', '.join(f"coalesce({c}, 'Missing') AS {c}" for c in _GBT_CATEGORIES)} FROM gaps WHERE order_value IS NOT NULL),
+    train AS MATERIALIZED (SELECT id, ln(1 + order_value) AS y FROM data WHERE NOT {_IN_TEST}),
+    """ + model_sql.feature_rows(_GBT_NUMBERS, _GBT_CATEGORIES) + "," + model_sql.boosting([vars(t) for t in trials])
+
+
+_SCORED = """ SELECT {columns} FROM (SELECT *, greatest(exp(p) - 1, 0) AS predicted FROM predicted JOIN data USING (id)) WHERE """ + _IN_TEST
+
+
+def _value_rows(spark: SparkSession, folder: str):
+    """Training rows with features and label, test rows with features, and the features' names."""
     rows = views.gaps(spark, folder).where(F.col("order_value").isNotNull())
     rows = shape.fill_defaults(prepare.log_target(rows, "order_value", "label"), [], _GBT_CATEGORIES)
     train, test = valuation.train_test_split(rows, "c_custkey")
-    prepared = prepare.feature_pipeline(train, _GBT_NUMBERS, _GBT_CATEGORIES)
-    ready = prepared.transform(train).select("features", "label")
-    model = valuation.regressor("features", "label", maxIter=10, maxDepth=3, stepSize=0.1).fit(ready)
-    return prepared, model, test
+    prepared = prepare.feature_pipeline(train, _GBT_NUMBERS, _GBT_CATEGORIES, scale=False)
+    names = prepare.feature_names(prepared, _GBT_NUMBERS, _GBT_CATEGORIES)
+    return prepared.transform(train).select("c_custkey", "features", "label"), prepared.transform(test), names
 
 
-@query("gbt_predict")
+def _value_model(spark: SparkSession, folder: str):
+    train, test, names = _value_rows(spark, folder)
+    return boosting.fit(train, _ONE_TRIAL, "features", "label", "c_custkey"), test, names
+
+
+@query("gbt_predict", _gbt_sql([_ONE_TRIAL]) + _SCORED.format(columns="id AS c_custkey, order_value, round(predicted, 4) AS predicted"))
 def gbt_predict(spark: SparkSession, folder: str) -> DataFrame:
-    prepared, model, test = _value_model(spark, folder)
-    scored = valuation.predict(model, prepared.transform(test))
+    model, test, _ = _value_model(spark, folder)
+    scored = valuation.predict(model, test)
     return rounded(scored.select("c_custkey", "order_value", "predicted"), "predicted")
 
 
-@query("residuals")
+@query(
+    "residuals",
+    _gbt_sql([_ONE_TRIAL]) + _SCORED.format(
+        columns="c_name AS entity, order_value AS actual, round(predicted, 4) AS predicted, round(order_value - predicted, 4) AS residual"
+    ),
+)
 def residuals(spark: SparkSession, folder: str) -> DataFrame:
-    prepared, model, test = _value_model(spark, folder)
-    scored = valuation.predict(model, prepared.transform(test))
+    model, test, _ = _value_model(spark, folder)
+    scored = valuation.predict(model, test)
     return rounded(valuation.residuals(scored, "c_name", "order_value"), "predicted", "residual")
 
 
-@query("feature_importance")
+@query(
+    "feature_importance",
+    _gbt_sql([_ONE_TRIAL]) + """
+    SELECT feature, round(coalesce(share, 0), 6) AS importance FROM names LEFT JOIN (
+        SELECT f, sum(gain / root) / sum(sum(gain / root)) OVER () AS share
+        FROM splits JOIN (SELECT tree, n AS root FROM splits WHERE node = 0) USING (tree) GROUP BY f) USING (f)
+    ORDER BY coalesce(share, 0) DESC, feature LIMIT 20""",
+)
 def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
-    prepared, model, _ = _value_model(spark, folder)
-    names = prepare.feature_names(prepared, _GBT_NUMBERS, _GBT_CATEGORIES)
-    return rounded(valuation.feature_importance(model, names, table(spark, folder, "customer")), "importance", places=6)
+    model, _, names = _value_model(spark, folder)
+    return rounded(valuation.gain_table(model, names, table(spark, folder, "customer")), "importance", places=6)
+
+
+@query(
+    "gbt_first_tree",
+    _gbt_sql([boosting.Trial(trees=1, depth=4, min_split=40)])
+    + " SELECT CAST(node AS INTEGER) AS node, feature, CAST(bin AS INTEGER) AS split, n, round(gain, 4) AS gain FROM splits JOIN names USING (f)",
+)
+def gbt_first_tree(spark: SparkSession, folder: str) -> DataFrame:
+    train, _, names = _value_rows(spark, folder)
+    model = boosting.fit(train, boosting.Trial(trees=1, depth=4, min_split=40), "features", "label", "c_custkey")
+    splits = [(node, names[f], split, int(n), gain) for _, _, node, f, split, n, gain, _ in boosting.tree_rows([model]) if f >= 0]
+    return rounded(spark.createDataFrame(splits, "node int, feature string, split int, n long, gain double"), "gain")
+
+
+@query(
+    "search_scores",
+    _gbt_sql([replace(draw, fold=f) for draw in _DRAWS for f in range(5)]) + f"""
+    SELECT CAST(trial // 5 AS INTEGER) AS draw, CAST(fold AS INTEGER) AS fold, trees, round(rate, 6) AS rate, depth, min_split,
+           round(subsample, 6) AS subsample, round(r2, 6) AS r2
+    FROM params JOIN (SELECT trial, 1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)) AS r2
+                      FROM predicted JOIN r USING (id) JOIN params USING (trial) WHERE y IS NOT NULL AND r.fold = params.fold
+                      GROUP BY trial) USING (trial)""",
+)
+def search_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Three draws of three to six trees (the search itself draws 30 of 300 to 999), five folds, all grown side by side."""
+    train, _, _ = _value_rows(spark, folder)
+    found = boosting.search(train, _DRAWS, "features", "label", "c_custkey")
+    return rounded(valuation.score_table(found, train), "r2", "rate", "subsample", places=6)
 
 
 @query(

@@ -56,3 +56,88 @@ COMPONENTS = f"""
     {_SQUARED.format(name="two", matrix="rest")},
     projected AS MATERIALIZED (SELECT id, sum(z.v * a.v) AS pca1, sum(z.v * b.v) AS pca2
           FROM z JOIN one_axis a USING (i) JOIN two_axis b USING (i) GROUP BY id)"""
+
+
+# ---- boosted trees ----------------------------------------------------------------------------------------------------
+def feature_rows(numbers: list[str], categories: list[str]) -> str:
+    """CTEs ``names(f, feature)`` and ``x(id, f, v)`` from ``data`` (id, columns) and ``train`` (id): means for missing numbers,
+    a 0 or 1 for each level that the training rows have."""
+    parts = [f"SELECT {i} AS f, '{c}' AS feature" for i, c in enumerate(numbers)]
+    values = [
+        f"SELECT id, {i} AS f, coalesce({c}, (SELECT avg({c}) FROM data SEMI JOIN train USING (id))) AS v FROM data"
+        for i, c in enumerate(numbers)
+    ]
+    levels = " UNION ALL ".join(
+        f"SELECT DISTINCT {k} AS k, '{c}' AS c, {c} AS level FROM data SEMI JOIN train USING (id)" for k, c in enumerate(categories)
+    )
+    flags = " UNION ALL ".join(
+        f"SELECT id, f, CAST({c} = level AS INTEGER)::DOUBLE AS v FROM data, levels WHERE c = '{c}'" for c in categories
+    )
+    return f"""
+    levels AS MATERIALIZED (SELECT *, {len(numbers) - 1} + row_number() OVER (ORDER BY k, level) AS f FROM ({levels})),
+    names AS ({' UNION ALL '.join(parts)} UNION ALL SELECT f, c || '=' || level FROM levels),
+    x AS MATERIALIZED ({' UNION ALL '.join(values)} UNION ALL {flags})"""
+
+
+def boosting(trials: list[dict], folds: int = 5, seed: int = 42, bins: int = 32, cells: int = 1024) -> str:
+    """CTEs that grow ``trials`` from ``train`` (id, y) and ``x`` (id, f, v; other ids are only scored).
+
+    ``predicted(trial, id, p)`` holds the result, ``splits(trial, tree, node, f, bin, n, gain)`` all splits.
+    """
+    columns = ["trees", "rate", "depth", "min_split", "subsample", "fold"]
+    rows = ", ".join(
+        f"({i}, " + ", ".join("NULL" if t[c] is None else repr(t[c]) + ("::DOUBLE" if c in ("rate", "subsample") else "") for c in columns) + ")"
+        for i, t in enumerate(trials)
+    )
+    mixed, steps = "xor(row, {start})", ((16, 2246822507), (13, 3266489909))
+    out = [f"""
+    params(trial, {', '.join(columns)}) AS (VALUES {rows}),
+    ends AS MATERIALIZED (SELECT f, min(v) AS lo, max(v) AS hi, count(*) AS n FROM x SEMI JOIN train USING (id) GROUP BY f),
+    cell AS MATERIALIZED (SELECT id, f, n, CASE WHEN hi > lo THEN greatest(0, least({cells - 1}, floor((v - lo) / ((hi - lo) / {cells}))))
+                 ELSE 0 END::INTEGER AS cell FROM x JOIN ends USING (f)),
+    upto AS MATERIALIZED (SELECT f, cell, sum(count(*)) OVER (PARTITION BY f ORDER BY cell) AS upto
+                 FROM cell SEMI JOIN train USING (id) GROUP BY f, cell),
+    b AS MATERIALIZED (SELECT c.id, c.f, (coalesce(u.upto, 0) * {bins} // c.n)::INTEGER AS bin
+                 FROM cell c ASOF LEFT JOIN upto u ON c.f = u.f AND c.cell > u.cell),
+    r AS MATERIALIZED (SELECT i.id, y, ('0x' || md5(i.id || '/{seed}/fold')[1:8])::BIGINT AS row,
+                 ('0x' || md5(i.id || '/{seed}/fold')[9:16])::BIGINT % {folds} AS fold
+                 FROM (SELECT DISTINCT id FROM x) i LEFT JOIN train USING (id)),
+    p_0 AS MATERIALIZED (SELECT trial, id, avg(y) FILTER (y IS NOT NULL AND r.fold IS DISTINCT FROM params.fold)
+                 OVER (PARTITION BY trial) AS p FROM r, params)"""]
+    depth = max(t["depth"] for t in trials)
+    for tree in range(max(t["trees"] for t in trials)):
+        draw = mixed.format(start=tree * 2654435761 % (1 << 32))
+        for shift, factor in steps:
+            draw = f"((xor({draw}, ({draw}) >> {shift}))::HUGEINT * {factor} % 4294967296)::BIGINT" if len(draw) < 200 else (
+                f"list_transform([{draw}], lambda z: (xor(z, z >> {shift})::HUGEINT * {factor} % 4294967296)::BIGINT)[1]")
+        draw = f"list_transform([{draw}], lambda z: xor(z, z >> 16))[1]"
+        out.append(f"""
+    g_{tree}_0 AS MATERIALIZED (SELECT p.trial, id, y - p AS res, 0 AS node,
+                 y IS NOT NULL AND r.fold IS DISTINCT FROM params.fold AND (subsample >= 1 OR {draw} < subsample * 4294967296.0) AS used
+                 FROM p_{tree} p JOIN r USING (id) JOIN params USING (trial) WHERE trees > {tree})""")
+        for level in range(depth):
+            out.append(f"""
+    s_{tree}_{level} AS MATERIALIZED (
+        SELECT trial, node, f, bin, n, gain FROM (
+            SELECT *, round(sl * sl / nl + (s - sl) * (s - sl) / (n - nl) - s * s / n, 6) AS gain FROM (
+                SELECT trial, node, f, bin, sum(c) OVER w AS nl, sum(s) OVER w AS sl, sum(c) OVER v AS n, sum(s) OVER v AS s
+                FROM (SELECT trial, node, f, bin, count(*) AS c, sum(res) AS s FROM g_{tree}_{level} JOIN b USING (id)
+                      WHERE used AND node >= {(1 << level) - 1} GROUP BY ALL)
+                WINDOW w AS (PARTITION BY trial, node, f ORDER BY bin), v AS (PARTITION BY trial, node, f))
+            WHERE nl < n) JOIN params USING (trial)
+        WHERE gain > 0 AND n >= min_split AND {level} < depth
+        QUALIFY row_number() OVER (PARTITION BY trial, node ORDER BY gain DESC, f, bin) = 1),
+    g_{tree}_{level + 1} AS MATERIALIZED (
+        SELECT g.trial, g.id, res, CASE WHEN s.node IS NULL THEN g.node ELSE 2 * g.node + 1 + (b.bin > s.bin)::INTEGER END AS node, used
+        FROM g_{tree}_{level} g LEFT JOIN s_{tree}_{level} s ON g.trial = s.trial AND g.node = s.node
+        LEFT JOIN b ON b.id = g.id AND b.f = s.f)""")
+        out.append(f"""
+    p_{tree + 1} AS MATERIALIZED (
+        SELECT p.trial, p.id, p + coalesce(rate * value, 0) AS p
+        FROM p_{tree} p JOIN params USING (trial) LEFT JOIN g_{tree}_{depth} g ON g.trial = p.trial AND g.id = p.id
+        LEFT JOIN (SELECT trial, node, avg(res) AS value FROM g_{tree}_{depth} WHERE used GROUP BY trial, node) v
+             ON v.trial = g.trial AND v.node = g.node)""")
+    last = max(t["trees"] for t in trials)
+    every = " UNION ALL ".join(f"SELECT {t} AS tree, * FROM s_{t}_{level}" for t in range(last) for level in range(depth))
+    out.append(f" predicted AS (SELECT * FROM p_{last}), splits AS ({every})")
+    return ",".join(out)
