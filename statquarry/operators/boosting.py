@@ -89,9 +89,9 @@ class Grid:
 def grid(rows: DataFrame, features: str = "features", bins: int = BINS, cells: int = CELLS) -> Grid:
     """The bins of all features, from two aggregates: ends, then counts by cell."""
     values = rows.select(values_of(rows, features).alias("values"))
-    ends = values.select(Summarizer.metrics("min", "max", "count").summary(array_to_vector("values")).alias("s")).select("s.*").first()
-    if not ends["count"]:
+    if not values.head(1):
         raise ValueError("no rows")
+    ends = values.select(Summarizer.metrics("min", "max", "count").summary(array_to_vector("values")).alias("s")).select("s.*").first()
     low, high = ends["min"].toArray(), ends["max"].toArray()
     width, features_ = (high - low) / cells, len(low)
     # every cell a bin of its own, to count them

@@ -10,10 +10,11 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statquarry.operators.shape import q
+from statquarry.session import small_join
 
 
 # ---- simple imputation and scaling --------------------------------------------------------------------------
@@ -125,6 +126,56 @@ def helper_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c.startswith(("num__", "cat__"))]
 
 
+# ---- preprocessing from a table of parameters ----------------------------------------------------------------
+def parameters(df: DataFrame, numeric: Sequence[str], categories: Sequence[str]) -> DataFrame:
+    """What a preprocessor learns, as rows: ``slot, feature, column, level, mean, deviation, is_mode``.
+
+    A number has one row (level NULL), a category one for each level, the slots of both following one another as in
+    ``feature_pipeline``.  Numeric columns without any value have no row.  Levels are counted as rows; the counted table is
+    sorted in one task to number the slots, which is as many rows as the vector has.
+    """
+    facts = numeric_facts(df, numeric)
+    numbers = df.sparkSession.createDataFrame(
+        [(i, c, c, None, mean, deviation if deviation > 0 else 1.0, False) for i, (c, (mean, deviation)) in enumerate(facts.items())],
+        "slot long, feature string, column string, level string, mean double, deviation double, is_mode boolean",
+    )
+    cells = F.array(*[F.struct(F.lit(i).alias("place"), F.lit(c).alias("column"), q(c).alias("level")) for i, c in enumerate(categories)])
+    if not categories:
+        return numbers
+    counted = df.select(F.inline(cells)).where("level IS NOT NULL").groupBy("place", "column", "level").agg(F.count("*").alias("n"))
+    modes = counted.groupBy("column").agg(F.min(F.struct((-F.col("n")).alias("rank"), "level")).alias("mode"))
+    levels = counted.join(modes, "column").withColumn("is_mode", F.col("mode.level") == F.col("level"))
+    number = F.row_number().over(Window.orderBy("place", "level")) + (len(facts) - 1)
+    levels = levels.withColumn("slot", number.cast("long")).select(
+        "slot", F.concat_ws("=", "column", "level").alias("feature"), "column", "level",
+        F.lit(None).cast("double").alias("mean"), F.lit(None).cast("double").alias("deviation"), "is_mode",
+    )
+    return numbers.unionByName(levels)
+
+
+def apply_parameters(df: DataFrame, learned: DataFrame, key: str) -> DataFrame:
+    """``key, slot, feature, value`` of every feature that is not zero, by joins with the table of parameters.
+
+    Missing numbers take the mean and are scaled, missing categories take the mode; a level that the table lacks gives no
+    row.  The cells of a row come out of one generator; the joins broadcast the parameters if their count allows.
+    """
+    kinds = learned.select("column", F.col("level").isNull().alias("is_number"), F.when(F.col("is_mode"), F.col("level")).alias("mode"))
+    found = kinds.groupBy("column").agg(F.bool_and("is_number").alias("is_number"), F.max("mode").alias("mode")).collect()  # columns
+    numbers = [r["column"] for r in found if r["is_number"] and r["column"] in df.columns]
+    spoken = {r["column"]: r["mode"] for r in found if not r["is_number"] and r["column"] in df.columns}
+    cell = lambda c, level, value: F.struct(F.lit(c).alias("column"), level.alias("level"), value.alias("number"))
+    none = F.lit(None)
+    cells = [cell(c, none.cast("string"), q(c).cast("double")) for c in numbers]
+    cells += [cell(c, F.coalesce(q(c).cast("string"), F.lit(mode)), none.cast("double")) for c, mode in spoken.items()]
+    if not cells:
+        return df.select(q(key), *[F.lit(None).cast(t).alias(c) for c, t in (("slot", "long"), ("feature", "string"), ("value", "double"))]).limit(0)
+    rows = df.select(q(key), F.inline(F.array(*cells)))
+    joined = small_join(rows, learned.select("column", "level", "slot", "feature", "mean", "deviation"), ["column", "level"], null_safe=True)
+    scaled = (F.coalesce("number", "mean") - F.col("mean")) / F.col("deviation")
+    value = F.when(F.col("mean").isNotNull(), scaled).otherwise(F.lit(1.0))
+    return joined.select(q(key), "slot", "feature", value.alias("value")).where("value <> 0")
+
+
 def log_target(df: DataFrame, target: str, name: str) -> DataFrame:
     return df.withColumn(name, F.log1p(q(target)))
 

@@ -18,7 +18,10 @@ from statquarry.operators import boosting, cluster, distribution, joins, orderin
 from statquarry.operators import neighbours as knn
 from statquarry.plans import model_sql, views
 from statquarry.plans.views import TEXT_COLUMNS, profile, profile_long, table, with_views
+from statquarry.session import materialise, shared_path
 from statquarry.sources import pages as page_source
+from statquarry.sources import tables as sinks
+from statquarry.sources.artefacts import Store
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1169,6 +1172,15 @@ def search_scores(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(valuation.score_table(found, train), "r2", "rate", "subsample", places=6)
 
 
+@query("model_round_trip", _gbt_sql([_ONE_TRIAL]) + _SCORED.format(columns="id AS c_custkey, round(predicted, 4) AS predicted"))
+def model_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Model and test rows published together, loaded from the manifest, and scored."""
+    model, test, _ = _value_model(spark, folder)
+    store = Store(spark, shared_path(spark, "store"))
+    store.publish(model=model, rows=test.select("c_custkey", vector_to_array("features").alias("features")))
+    return rounded(valuation.predict(store.load("model"), store.load("rows")).select("c_custkey", "predicted"), "predicted")
+
+
 @query(
     "regression_metrics",
     """WITH s AS (SELECT l_extendedprice AS a, l_quantity * 2100.0 AS p FROM lineitem)
@@ -1181,3 +1193,136 @@ def regression_metrics(spark: SparkSession, folder: str) -> DataFrame:
     )
     found = rounded(valuation.regression_metrics(scored, "actual", "predicted"), "rmse", "mae")
     return rounded(found, "r2", places=6)
+
+
+# ---- tables in and out, schema rules ----------------------------------------------------------------------------------------
+@query(
+    "column_pipeline",
+    with_views("gaps") + """,
+    numbers AS (SELECT c_custkey, 'acctbal' AS feature, acctbal AS v FROM gaps UNION ALL
+                SELECT c_custkey, 'max_order', max_order FROM gaps UNION ALL SELECT c_custkey, 'n_orders', n_orders FROM gaps),
+    filled AS (SELECT c_custkey, feature, v, avg(v) OVER (PARTITION BY feature) AS m FROM numbers),
+    scaled AS (SELECT c_custkey, feature, (coalesce(v, m) - m) / stddev_pop(coalesce(v, m)) OVER (PARTITION BY feature) AS value FROM filled),
+    common AS (SELECT segment AS mode FROM gaps WHERE segment IS NOT NULL GROUP BY segment ORDER BY count(*) DESC, segment LIMIT 1)
+    SELECT c_custkey, feature, round(value, 4) AS value FROM scaled WHERE value <> 0
+    UNION ALL SELECT c_custkey, 'segment=' || coalesce(segment, (SELECT mode FROM common)), 1.0 FROM gaps
+    UNION ALL SELECT c_custkey, 'n_name=' || n_name, 1.0 FROM gaps""",
+)
+def column_pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """Numbers filled and scaled, categories filled and encoded, from one table of parameters; other columns dropped."""
+    rows = views.gaps(spark, folder)
+    learned = materialise(prepare.parameters(rows, ["acctbal", "max_order", "n_orders", "nothing"], _GBT_CATEGORIES))
+    return rounded(prepare.apply_parameters(rows, learned, "c_custkey").drop("slot"), "value")
+
+
+@query(
+    "encoding_fallback",
+    """SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, 'Ünï, "' || translate(c_name, 'u', 'ü') || '"' AS name, c_mktsegment
+       FROM customer""",
+)
+def encoding_fallback(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of one folder in UTF-8, UTF-8 with a byte order mark and Latin-1, read as one table."""
+    name = F.concat(F.lit('Ünï, "'), F.translate("c_name", "u", "ü"), F.lit('"')).alias("name")
+    rows = table(spark, folder, "customer").select("c_custkey", name, "c_mktsegment")
+    place = shared_path(spark, "encodings")
+    for kind, (encoding, bom) in enumerate([("UTF-8", False), ("UTF-8", True), ("ISO-8859-1", False)]):
+        sinks.write_table(rows.where(F.col("c_custkey") % 3 == kind), place, encoding=encoding, bom=bom, mode="append")
+    return sinks.read_table(spark, place, encoding_fallback=True)
+
+
+@query(
+    "csv_sink",
+    with_views("gaps") + """SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, printf('%.3f', acctbal) AS acctbal,
+                                   printf('%.3f', max_order) AS max_order, segment FROM gaps""",
+)
+def csv_sink(spark: SparkSession, folder: str) -> DataFrame:
+    """Written with three decimals and a byte order mark, read back as text."""
+    place = shared_path(spark, "csv")
+    sinks.write_table(views.gaps(spark, folder).select("c_custkey", "c_name", "acctbal", "max_order", "segment"), place, decimals=3, bom=True)
+    return sinks.read_table(spark, place)
+
+
+@query(
+    "staged_table",
+    with_views("profile") + "SELECT n_name, count(*) AS n, round(sum(order_value), 2) AS total FROM profile WHERE n_orders >= 5 GROUP BY n_name",
+)
+def staged_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The unfiltered table is written and read again, then filtered and counted."""
+    staged = sinks.stage(profile(spark, folder), shared_path(spark, "stage"))
+    kept = shape.eligible(staged, "n_orders", 5, inclusive=True)
+    return rounded(kept.groupBy("n_name").agg(F.count("*").alias("n"), F.sum("order_value").alias("total")), "total", places=2)
+
+
+@query("preview_rows", with_views("profile") + "SELECT c_name, n_name, order_value FROM profile ORDER BY order_value DESC NULLS LAST, c_name LIMIT 5")
+def preview_rows(spark: SparkSession, folder: str) -> DataFrame:
+    rows = profile(spark, folder).select("c_name", "n_name", "order_value")
+    return sinks.preview(rows.orderBy(F.desc_nulls_last("order_value"), "c_name"))
+
+
+@query("required_columns", "SELECT o_orderkey, o_totalprice, o_custkey FROM orders")
+def required_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """Required columns are there; of the wanted ones those that exist."""
+    orders = table(spark, folder, "orders")
+    found = shape.require_columns(orders, ["o_orderkey"], ["o_totalprice", "o_discount", "o_custkey"])
+    return orders.select("o_orderkey", *found)
+
+
+def _stat_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """One page for each nation with two tables of its customers, each with a row of column headers now and then."""
+    customers = table(spark, folder, "customer")
+    cell = lambda stat, value: F.concat(F.lit(f'<td data-stat="{stat}"> '), value.cast("string"), F.lit("</td>"))
+    header = F.when(F.col("c_custkey") % 7 == 0, F.lit('<tr><th scope="col">Player</th></tr>')).otherwise(F.lit(""))
+    line = lambda *cells: F.sort_array(F.collect_list(F.struct("c_custkey", F.concat(header, F.lit("<tr>"), *cells, F.lit("</tr>")).alias("tr"))))
+    both = customers.groupBy("c_nationkey").agg(
+        line(cell("player", F.col("c_name")), cell("minutes", F.col("c_acctbal")), cell("unused", F.col("c_custkey"))).alias("base"),
+        line(cell("player", F.col("c_name")), cell("segment", F.col("c_mktsegment")), cell("spare", F.col("c_custkey"))).alias("more"),
+    )
+    body = lambda name: F.concat(F.lit(f'<table id="{name}">'), F.array_join(F.col(f"{name}.tr"), ""), F.lit("</table>"))
+    return both.select(F.col("c_nationkey").cast("long").alias("page_id"), F.concat(body("base"), F.lit("<p>"), body("more")).alias("html"))
+
+
+@query(
+    "source_pruning",
+    """SELECT CAST(c_nationkey AS BIGINT) AS page_id, c_name AS player, CAST(c_acctbal AS VARCHAR) AS minutes, c_mktsegment AS segment
+       FROM customer WHERE c_nationkey IN (SELECT c_nationkey FROM customer GROUP BY c_nationkey
+                                           HAVING count(*) + count(*) FILTER (c_custkey % 7 = 0) > 1)""",
+)
+def source_pruning(spark: SparkSession, folder: str) -> DataFrame:
+    """Only the required fields of each page table; rows of column headers are skipped."""
+    fields, required = {"base": ["player", "minutes", "unused"], "more": ["segment", "spare"]}, {"player", "minutes", "segment"}
+    blocks = materialise(page_source.table_blocks(_stat_pages(spark, folder), list(fields)))
+    base = page_source.table_rows(blocks, "base", [f for f in fields["base"] if f in required])
+    kept = [f for f in fields["more"] if f in required]
+    details = [(page_source.table_rows(blocks, "more", ["player", *kept]), kept)]
+    return joins.update_join(base, details, "player").select("page_id", "player", "minutes", "segment")
+
+
+@query("drop_present", "SELECT p_partkey, p_name, p_type FROM part")
+def drop_present(spark: SparkSession, folder: str) -> DataFrame:
+    part = table(spark, folder, "part").select("p_partkey", "p_name", "p_type", "p_size")
+    return shape.drop_present(part, ["p_size", "p_comment", "p_nothing"])
+
+
+@query("backfill_columns", "SELECT s_suppkey, s_name, CAST(NULL AS DOUBLE) AS skill, CAST(NULL AS VARCHAR) AS team FROM supplier")
+def backfill_columns(spark: SparkSession, folder: str) -> DataFrame:
+    supplier = table(spark, folder, "supplier").select("s_suppkey", "s_name")
+    return shape.backfill_columns(supplier, {"s_name": "string", "skill": "double", "team": "string"})
+
+
+@query("trim_headers", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def trim_headers(spark: SparkSession, folder: str) -> DataFrame:
+    return shape.trim_headers(table(spark, folder, "nation").select(F.col("n_nationkey").alias(" n_nationkey"), F.col("n_name").alias("n_name\t"), "n_regionkey"))
+
+
+@query(
+    "field_sets",
+    """SELECT 'c_acctbal' AS field, true AS present, count(c_acctbal) AS n FROM customer
+       UNION ALL SELECT 'c_name', true, count(c_name) FROM customer UNION ALL SELECT 'c_age', false, 0""",
+)
+def field_sets(spark: SparkSession, folder: str) -> DataFrame:
+    """Wanted fields, whether the table has them, and how many values they hold."""
+    customers = table(spark, folder, "customer")
+    present, missing = shape.field_sets(customers, ["c_name", "c_acctbal", "c_age"])
+    counts = [F.struct(F.lit(f).alias("field"), F.lit(True).alias("present"), F.count(f).alias("n")) for f in sorted(present)]
+    counts += [F.struct(F.lit(f).alias("field"), F.lit(False).alias("present"), F.lit(0).cast("long").alias("n")) for f in sorted(missing)]
+    return customers.agg(F.array(*counts).alias("rows")).select(F.inline("rows"))

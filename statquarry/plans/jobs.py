@@ -6,21 +6,21 @@ come from the league configuration.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.regression import GBTRegressionModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statquarry.functions.parsing import age_years, money, money_raw, score, strip_space, unsentinel
-from statquarry.operators import cluster, distribution, joins, longform, neighbours, prepare, ranking, shape, stats, valuation
+from statquarry.operators import boosting, cluster, distribution, joins, longform, neighbours, prepare, ranking, shape, stats, valuation
+from statquarry.operators.boosting import Boosted
 from statquarry.operators.ordering import sort_by_first_name
 from statquarry.plans import league
 from statquarry.session import materialise
 from statquarry.sources import pages as page_source
+from statquarry.sources.artefacts import Store
 
 
 # ---- collect ----------------------------------------------------------------------------------------------------
@@ -230,22 +230,26 @@ def valued_eligible(valued: DataFrame, wide: DataFrame, min_minutes: float = lea
 @dataclass
 class Valuation:
     preprocessor: PipelineModel
-    model: GBTRegressionModel
+    model: Boosted
     numeric: list[str]
     categories: list[str]
     scored: DataFrame
+    scores: DataFrame
     metrics: DataFrame
     importance: DataFrame
     residuals: DataFrame
 
-    def save(self, folder: str) -> None:
-        self.preprocessor.write().overwrite().save(os.path.join(folder, "preprocessor"))
-        self.model.write().overwrite().save(os.path.join(folder, "model"))
+    def save(self, folder: str) -> int:
+        """Publish preprocessor, model and tables together; returns the publication's number."""
+        store = Store(self.scored.sparkSession, folder)
+        return store.publish(
+            preprocessor=self.preprocessor, model=self.model, scores=self.scores, metrics=self.metrics, importance=self.importance
+        )
 
     @staticmethod
-    def load(folder: str) -> tuple[PipelineModel, GBTRegressionModel]:
-        preprocessor = PipelineModel.load(os.path.join(folder, "preprocessor"))
-        return preprocessor, GBTRegressionModel.load(os.path.join(folder, "model"))
+    def load(folder: str, spark: SparkSession | None = None) -> tuple[PipelineModel, Boosted]:
+        store = Store(spark or SparkSession.getActiveSession(), folder)
+        return store.load("preprocessor"), store.load("model")
 
 
 def training_table(wide: DataFrame, valued: DataFrame, entity: str = league.ENTITY, target: str = league.TARGET) -> DataFrame:
@@ -266,11 +270,13 @@ def value_entities(
     folds: int = valuation.FOLDS,
     trees: tuple[int, int] = valuation.TREES,
     seed: int = valuation.SEED,
-    parallelism: int = 4,
+    parallelism: int = 40,
+    restart: str | None = None,
 ) -> Valuation:
     """Split, impute (nearest neighbours, on unscaled features), encode, search, score.
 
-    ``key`` is a unique row key; the split and the imputation's tie rule hang on it.
+    ``key`` is a unique row key; the split, the folds and the imputation's tie rule hang on it.  ``parallelism`` trials of
+    the search share their passes; with a ``restart`` folder a search that was interrupted goes on with the trees written there.
     """
     dropped = {entity, key, target, *ids, *(f"{c}{s}" for c in ids for s in ("_x", "_y"))}
     if not keep_leaking:
@@ -292,13 +298,11 @@ def value_entities(
     train_filled = neighbours.knn_impute(train, numeric, key)
     test_filled = neighbours.knn_impute(test, numeric, key, donors=train)
     preprocessor = prepare.feature_pipeline(train_filled, numeric, categories)
-    ready = preprocessor.transform(train_filled).select("features", "target__log").persist()
-    try:
-        model = valuation.random_search(
-            ready, "features", "target__log", draws, folds, seed, trees, parallelism
-        ).bestModel
-    finally:
-        ready.unpersist()
+    ready = preprocessor.transform(train_filled).select(shape.q(key), "features", "target__log")
+    search = boosting.search(
+        ready, valuation.draw_trials(draws, seed, trees), "features", "target__log", key, folds, seed, folder=restart, together=parallelism
+    )
+    model = search.model
     scored = valuation.predict(model, preprocessor.transform(test_filled))
     names = prepare.feature_names(preprocessor, numeric, categories)
     return Valuation(
@@ -307,8 +311,9 @@ def value_entities(
         numeric=numeric,
         categories=categories,
         scored=scored,
+        scores=valuation.score_table(search, df),
         metrics=valuation.regression_metrics(scored, target, "predicted"),
-        importance=valuation.feature_importance(model, names, df),
+        importance=valuation.gain_table(model, names, df),
         residuals=valuation.residuals(scored, entity, target),
     )
 

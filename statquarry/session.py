@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +29,20 @@ def local_session(cpus: int | str = "*", app: str = "statquarry", shuffle: int =
     return spark
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new folder name in the storage that driver and executors share (``spark.checkpoint.dir``).
+
+    Only a local session that names no such folder gets a temporary one.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        root = tempfile.mkdtemp(prefix="statquarry-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the folder named by ``spark.checkpoint.dir``.
 

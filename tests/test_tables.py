@@ -87,3 +87,44 @@ def test_missing_required_column(spark):
     with pytest.raises(ValueError, match="Team"):
         require_columns(spark.range(1), ["Team"])
     assert require_columns(spark.range(1), ["id"], ["id", "x"]) == ["id"]
+
+
+def _write(folder, name, text, encoding):
+    (folder / name).write_bytes(text.encode(encoding))
+
+
+def test_every_file_by_its_own_encoding(spark, tmp_path):
+    _write(tmp_path, "a.csv", "Name,Team\nÉva,\"Ü, \"\"x\"\"\"\n\nAl,N/a\nName,Team\n", "utf-8")
+    _write(tmp_path, "b.csv", "Name,Team\r\nZoë,Bé\r\nBo,\r\n", "utf-8-sig")
+    _write(tmp_path, "c.csv", "Team,Name,More\nCôté,Ña,1\nplain,ascii,2\n", "latin-1")
+    _write(tmp_path, "d.csv", "Name,Team\n", "utf-8")
+    table = tables.read_table(spark, str(tmp_path), encoding_fallback=True, with_row_no=True)
+    got = [(r["Name"], r["Team"], r["More"]) for r in table.orderBy("row_no").collect()]
+    # a line that equals the header is data behind the first line
+    assert got == [
+        ("Éva", 'Ü, "x"', None), ("Al", None, None), ("Name", "Team", None), ("Zoë", "Bé", None), ("Bo", None, None),
+        ("Ña", "Côté", "1"), ("ascii", "plain", "2"),
+    ]
+
+
+def test_verdicts_hold_for_whole_files_in_many_splits(spark, tmp_path):
+    lines = [f"{i},{'é' if i == 49_000 else 'e'}{i}" for i in range(50_000)]
+    _write(tmp_path, "a.csv", "i,name\n" + "\n".join(lines) + "\n", "latin-1")
+    _write(tmp_path, "b.csv", "i,name\n" + "\n".join(f"-{x}" for x in lines[1:]) + "\n", "utf-8")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        rows = tables.read_table(spark, str(tmp_path), encoding_fallback=True, with_row_no=True).orderBy("row_no").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [f"{r['i']},{r['name']}" for r in rows] == lines + [f"-{x}" for x in lines[1:]]
+
+
+def test_byte_order_mark_on_request(spark, tmp_path):
+    df = spark.createDataFrame([("é", 1.23456), (None, None)], "name string, x double")
+    tables.write_table(df, str(tmp_path / "t"), decimals=3, bom=True)
+    heads = [p.read_bytes()[:3] for p in (tmp_path / "t").glob("*.csv")]
+    assert heads and set(heads) == {b"\xef\xbb\xbf"}
+    for fallback in (False, True):
+        got = tables.read_table(spark, str(tmp_path / "t"), encoding_fallback=fallback)
+        assert got.columns == ["name", "x"] and sorted((r["name"] or "", r["x"] or "") for r in got.collect()) == [("", ""), ("é", "1.235")]
