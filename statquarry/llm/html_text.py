@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Callable, Iterator
+from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,7 @@ BLOCKS = {
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 CONTENT = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "blockquote", "pre", "dd", "dt", "figcaption", "td", "th", "tr"}
 PARAGRAPHS = {"p", "li", "blockquote", "pre", "dd", "figcaption"}
+ROOTS = {"html", "body", "article", "main"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 # fixed values: elements that a class name can make furniture; text elements, headings and inline elements it cannot
 CONTAINERS = {"address", "center", "details", "dir", "div", "dl", "figure", "ol", "section", "table", "ul"}
@@ -56,20 +58,27 @@ MARKS = {
 }
 # fixed values: words that mark furniture outside an article only, where id names count too
 OUTER = {
-    "alert", "banner", "consent", "masthead", "menu", "modal", "replies", "respond", "responses", "toolbar", "widget", "widgets",
+    "alert", "banner", "consent", "header", "masthead", "menu", "modal", "replies", "respond", "responses", "toolbar", "widget", "widgets",
 }
 # fixed values: words that may stand beside them in one name, as in ad-box or left-sidebar
 BESIDE = {
     "area", "banner", "bar", "block", "bottom", "box", "button", "buttons", "consent", "container", "form", "inner", "item",
-    "left", "list", "menu", "notice", "outer", "popup", "primary", "right", "secondary", "section", "site", "slot", "social",
-    "thread", "top", "unit", "widget", "wrap", "wrapper",
+    "icons", "left", "links", "list", "menu", "notice", "outer", "popup", "primary", "right", "secondary", "section", "site", "slot",
+    "social", "thread", "top", "unit", "widget", "wrap", "wrapper",
 }
+# fixed values: adverts by name go whatever the element, but for headings
+ADVERTS = {"ad", "adbox", "ads", "adsense", "adslot", "adunit", "advert", "advertisement", "advertisements", "adverts", "sponsored"}
+# fixed values: words that mark a container whatever stands beside them, as in reader-comments, unless the name tells a state
+ANYWHERE = {"advert", "advertisement", "advertisements", "adverts", "comment", "commentlist", "comments"}
+STATES = {"has", "is", "js", "no", "show", "with", "without"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "menu", "menubar", "dialog", "alert"}
 
+# attributes as HTML reads them: a quote opens a value only straight after "="; a value that is never closed is no value
+_ATTRIBUTES = r"""(?>[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*"|'[^']*'|[^\s>"'][^\s>]*+|(?=>)))?+)*+"""
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^'\">]|\"[^\"]*\"|'[^']*')*)>|<[/a-zA-Z][^>]*(?:>|\Z)|[^<]+|<", re.S
+    rf"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)({_ATTRIBUTES})>|<[/a-zA-Z][^>]*(?:>|\Z)|[^<]+|<", re.S
 )
-_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s>"'][^\s>]*+)))?+""")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -77,18 +86,24 @@ def _names_furniture(value: str, marks: set[str]) -> bool:
     """Whether a whole name of a class or id value consists of words for furniture: ad-box does, ad-hoc doesn't."""
     for name in value.split():
         words = [word.lower() for word in _NAME.findall(name)]
-        if not marks.isdisjoint(words) and all(word in marks or word in BESIDE for word in words):
+        # social is ambiguous alone, but not beside links or buttons
+        marked = not marks.isdisjoint(words) or "social" in words and len(words) > 1
+        if marked and all(word in marks or word in BESIDE for word in words):
+            return True
+        if marks >= ANYWHERE and not ANYWHERE.isdisjoint(words) and words[0] not in STATES:
             return True
     return False
 
 
-def _marked(tag: str, attributes: str, in_article: Callable[[], bool]) -> bool:
+def _marked(tag: str, attributes: str, in_article: bool) -> bool:
     """Whether an element's own attributes make it furniture; in an article no id does, and fewer class names do."""
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
         if name in ("class", "id"):
+            if name == "class" and tag not in HEADINGS and tag not in ROOTS and _names_furniture(value, ADVERTS):
+                return True
             if tag in CONTAINERS and _names_furniture(value, MARKS | OUTER):
-                if not in_article() or name == "class" and _names_furniture(value, MARKS):
+                if not in_article or name == "class" and _names_furniture(value, MARKS):
                     return True
         elif name == "role" and value.lower() in ROLES or name == "hidden":
             return True
@@ -112,8 +127,11 @@ class Page:
     def __init__(self, source: str):
         self.tag, self.parent, self.skip, self.hash, self.words = ["#"], [-1], [False], [0], [0]
         self.text: list[tuple[int, str] | None] = []
+        # per element: inside an article, inside an article or main element, in a header and not in a heading of it
+        self.article, self.within, self.header = [False], [False], [False]
         self._items: dict[int, list[str]] = {0: []}
         self._stack = [0]
+        self._open: Counter[str] = Counter()  # open elements by name
         self._read(source)
         while self._stack:
             self._close()
@@ -153,14 +171,18 @@ class Page:
             self.text.append(None)
         if tag in VOID:
             return
-        furniture = tag in FURNITURE or bool(attributes) and _marked(tag, attributes, self._in_article)
+        furniture = tag in FURNITURE or bool(attributes) and _marked(tag, attributes, self._in_article())
         if block:
             self._implied(tag)
         elif not furniture:
             return  # inline elements only carry text
-        inside = tag == "header" and self._in_article()
+        inside, up = tag == "header" and self._in_article(), self._stack[-1]
         self.tag.append(tag)
-        self.parent.append(self._stack[-1])
+        self.parent.append(up)
+        self.article.append(self.article[up] or tag == "article")
+        self.within.append(self.within[up] or tag in ("article", "main"))
+        self.header.append(tag not in HEADINGS and (tag == "header" or self.header[up]))
+        self._open[tag] += 1
         self.skip.append(not inside if tag == "header" else furniture)  # an article's own header holds its title
         self.hash.append(0)
         self.words.append(0)
@@ -168,13 +190,15 @@ class Page:
         self._items[len(self.tag) - 1] = []
 
     def _in_article(self) -> bool:
-        return "article" in (self.tag[k] for k in self._stack)
+        return self.article[self._stack[-1]]
 
     def _implied(self, tag: str) -> None:
         """End tags that a start tag implies: a block ends a paragraph, an item the item before it."""
         ends = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
                 "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
         closes, limit = ends.get(tag, (set(), set()))
+        if not self._open["p"] and not any(self._open[name] for name in closes):
+            return
         for k in range(len(self._stack) - 1, 0, -1):
             name = self.tag[self._stack[k]]
             if name == "p" or name in closes:
@@ -187,6 +211,8 @@ class Page:
     def _end(self, tag: str) -> None:
         if tag in BLOCKS:
             self.text.append(None)
+        if not self._open[tag]:
+            return
         for k in range(len(self._stack) - 1, 0, -1):
             name = self.tag[self._stack[k]]
             if name == tag:
@@ -198,6 +224,7 @@ class Page:
 
     def _close(self) -> None:
         node = self._stack.pop()
+        self._open[self.tag[node]] -= 1
         items = self._items.pop(node)
         if items:
             body = "\x01".join([self.tag[node], *items])
@@ -239,10 +266,7 @@ class Page:
         usual = SHORT if self.words[node] < FEW_WORDS else LONG
         if tag not in CONTENT:
             return usual
-        up = node
-        while up > 0 and self.tag[up] not in ("article", "main"):
-            up = self.parent[up]
-        if up <= 0:
+        if not self.within[node]:
             return usual
         return LINE if tag in PARAGRAPHS else None
 
@@ -261,17 +285,10 @@ class Page:
                 if words:
                     blocks.append(" ".join(words))
                 now = []
-            elif inside[entry[0]] and not dropped[entry[0]] and not self._in_header(entry[0]):
+            elif inside[entry[0]] and not dropped[entry[0]] and not self.header[entry[0]]:
                 now.append(entry[1])
         return " ".join(blocks)
 
-    def _in_header(self, node: int) -> bool:
-        while node > 0 and self.tag[node] not in HEADINGS:
-            if self.tag[node] == "header":
-                return True
-            node = self.parent[node]
-        return False
-
 
 def _pages(pages: DataFrame, id: str, url: str, source: str) -> DataFrame:
     body = F.coalesce(F.col(f"`{source}`").cast("string"), F.lit(""))

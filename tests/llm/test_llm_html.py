@@ -1,4 +1,9 @@
+import random
+import time
+from collections import defaultdict
+
 import pytest
+from pyspark.sql import functions as F
 
 from statquarry.llm.html_text import Page, main_texts
 
@@ -24,7 +29,9 @@ KEPT = [
     ('<article><section id="discussion"><h2>Discussion</h2><p>d</p></section></article>', "Discussion d"),
     ('<article><h2 id="related-work">Related work</h2><p>r</p></article>', "Related work r"),
     ('<article><div class="entry-header"><h1>T</h1></div>t</article>', "T t"),
-    ('<article><p class="ad">p</p><b class="promo">b</b><div id="comments">i</div></article>', "p b i"),
+    ('<article><p class="ad">p</p><b class="promo">b</b><div id="comments">i</div></article>', "b i"),  # an advert goes
+    ('<div class="post has-comments"><p>b</p></div><div class="social">s</div><article-x class="no-ads">k</article-x>', "b s k"),
+    ('<article><h2 class="ad">About an ad</h2><span class="adage">a</span></article>', "About an ad a"),
     ('<article><div class="menu">soup</div><div class="alert alert-info">note</div></article>', "soup note"),
     ('<main><section id="discussion">d</section><div class="ad-hoc">a</div></main>', "d a"),
     ('<div class="content-sidebar has-sidebar"><p>b</p></div><div id="cookie-recipe">c</div>', "b c"),
@@ -33,6 +40,20 @@ GONE = [
     ('<article>a<div class="x left-sidebar">s</div><ul class="breadcrumbs"><li>b</ul><section class="post-ads ads">x</section></article>', "a"),
     ('<div id="sidebar">s</div><ul class="menu"><li>m</ul><div id="comments">c</div><p>kept</p>', "kept"),
 ]
+GONE += [
+    ('<article>a<div class="comment-body">c</div><ol class="reader-comments"><li>r</ol><div class="userComments">u</div></article>', "a"),
+    ('<article>a<span class="ad">s</span><p class="advert">p</p><div class="social-links">x</div></article>', "a"),
+    ('<div id="header"><p>site</p></div><div class="site-header">s</div><p>kept</p>', "kept"),
+]
+# attributes as HTML reads them
+ATTRIBUTES = [
+    ("<article><p title=it's>First block</p><p>Second block</p><p>That isn't lost</p></article>", "First block Second block That isn't lost"),
+    ('<article><p title=a"b>one</p><p title="x > y">two</p><p title=\'"\'>three</p></article>', "one two three"),
+    ('<article><p title="a""b">one</p><p title = "q" class= ad>gone</p><p a=b/>two</p></article>', "one two"),
+    ('<article><p title="never closed>one</p><p>two</p></article>', "one two"),
+    ("<article><p class=>one</p><p =x \"y>two</p><p class='ad'>gone</p></article>", "one two"), ("<article>a<p class=\"x", "a"),
+    ("<article><a href=http://x/y?z='>l</a> m</article>", "l m"),
+]
 PAGES = "page_id long, url string, html string, text string, host string, key long, templates string"
 
 
@@ -45,7 +66,7 @@ def test_main_text(source, text):
     assert Page(source).main_text() == text
 
 
-@pytest.mark.parametrize("source, text", KEPT + GONE)
+@pytest.mark.parametrize("source, text", KEPT + GONE + ATTRIBUTES)
 def test_only_whole_names_on_containers_mark_furniture(source, text):
     assert Page(source).main_text() == text
 
@@ -92,3 +113,63 @@ def test_nulls_repeated_rows_and_empty_tables(spark):
     got = sorted(((r.page_id, r.text) for r in main_texts(table(spark, rows)).collect()), key=str)
     assert got == sorted([(1, ""), (None, "x"), (2, ""), (3, "y"), (3, "y")], key=str)
     assert main_texts(table(spark, rows).limit(0)).collect() == []
+
+
+def test_deep_pages_take_time_in_proportion():
+    took = []
+    for deep in (4_000, 16_000):
+        source = "<article>" + "<div><li>" * deep + "deep<p>x</section></p>" * 2
+        began = time.perf_counter()
+        assert Page(source).main_text().split()[0] == "deep"
+        took.append(time.perf_counter() - began)
+    assert took[1] < 12 * took[0] and took[1] < 5
+    began = time.perf_counter()
+    Page("<p " + "a='b\" " * 200_000)
+    Page("<a " * 100_000)
+    assert time.perf_counter() - began < 10
+
+
+def test_templates_against_plain_counts(spark):
+    """Which subtrees go, by counting the different main texts and addresses of every host and section in plain Python."""
+    draw = random.Random(5)
+    boxes = [f"<div><b>box {k} of the site here</b></div>" for k in range(12)] + [f"<p>line {k}</p>" for k in range(4)] + ["<div>Hi!</div>"]
+    rows = []
+    for k in range(700):
+        host, section = f"h{k % 3}.org", f"s{k % 7}"
+        own = [b for n, b in enumerate(boxes) if draw.random() < (n + 1) / 40 or n in (13, 14) and draw.random() < 0.97]
+        rows.append((k, f"http://{host}/{section}/{k if k % 5 else 0}", f"<article><p>own {k if k % 11 else 0}</p>{''.join(own)}</article>"))
+    settings = dict(share=0.25, least=8, most=30, nearly=0.9, many=50)
+    pages = [(r, Page(r[2])) for r in rows]
+    seen, total = defaultdict(dict), defaultdict(set)
+    for (_, url, _), page in pages:
+        host, section = url.split("/")[2:4]
+        main = page.main_text()
+        for place in ((host,), (host, section)):
+            total[place].add(main)
+            for h, kind in page.removable():
+                at = seen[place, h, kind].setdefault(main, url)
+                seen[place, h, kind][main] = min(at, url, key=lambda u: address(spark, u))
+    gone = defaultdict(set)
+    for (place, h, kind), texts in seen.items():
+        n, pages_, addresses = len(texts), len(total[place]), len(set(texts.values()))
+        if n >= 8 and (n >= 50 and n >= 0.9 * pages_ if kind == 2 else n >= 0.25 * pages_ or kind == 0 and addresses >= 30):
+            gone[place].add(~h if kind == 2 else h)
+    expected = {}
+    for (i, url, _), page in pages:
+        host, section = url.split("/")[2:4]
+        own = {~h if kind == 2 else h for h, kind in page.removable()}
+        expected[i] = page.main_text(frozenset((gone[host,] | gone[host, section]) & own))
+    got = {r.page_id: r.text for r in main_texts(table(spark, rows), **settings).collect()}
+    assert got == expected and sum(page.main_text() != expected[r[0]] for r, page in pages) > 300
+
+
+_ADDRESSES: dict[str, int] = {}
+
+
+def address(spark, url):
+    """The number by which the operator tells addresses apart."""
+    if not _ADDRESSES:
+        urls = [f"http://h{a}.org/s{b}/{k}" for a in range(3) for b in range(7) for k in range(700)]
+        frame = spark.createDataFrame([(u,) for u in urls], "u string").select("u", F.xxhash64("u"))
+        _ADDRESSES.update((r[0], r[1]) for r in frame.collect())
+    return _ADDRESSES[url]
