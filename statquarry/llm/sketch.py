@@ -140,12 +140,10 @@ def build(
     """Sketch of the values that ``arrays`` draws from the batches of ``df``; ``level`` is ``once`` or ``twice``."""
     rows = df.mapInArrow(lambda batches: _planes(arrays(batches), depth, bits), SCHEMA)
     parts = df.rdd.getNumPartitions()
-    while True:
-        rows = rows.groupBy("line", "block", F.expr(f"part div {FAN}")).applyInPandas(
-            lambda group: _merge(group), SCHEMA
-        )
-        if parts <= FAN:
-            break
+    while parts > FAN:
+        rows = rows.groupBy("line", "block", F.expr(f"part div {FAN}")).applyInPandas(lambda group: _merge(group), SCHEMA)
         parts = -(-parts // FAN)
+    # the last level takes all parts of a block, also if the plan that ran had more of them than the frame reported
+    rows = rows.groupBy("line", "block").applyInPandas(lambda group: _merge(group), SCHEMA)
     found = rows.select("line", "block", level).collect()  # at most depth * max_cells / 8 bytes, whatever the input
     return Sketch({(r[0], r[1]): bytes(r[2]) for r in found}, depth, bits)
