@@ -45,7 +45,10 @@ class Settings:
     places: int = 3
     seed: int = 11
     block_items: int = 20_000
+    block_bytes: int = 1 << 24  # items of so many bytes make a block, or one longer item
     window_words: int = 1 << 20  # windows are embedded when so many words have come together
+    cells: int = 1 << 21  # so many words of windows, filled up to one width, are embedded at a time
+    spread: int = 64  # windows on either side of where a run puts its item; longer items leave some starts out
 
 
 def words_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -81,6 +84,26 @@ def keys(windows: np.ndarray, size: np.ndarray, settings: Settings) -> np.ndarra
     return out
 
 
+def by_size(size: np.ndarray, cells: int) -> Iterator[np.ndarray]:
+    """Row numbers in groups of sizes that differ by less than a factor of two and fill so many cells, or of one row."""
+    order = np.argsort(size, kind="stable")
+    low = 0
+    while low < len(order):
+        width = 1 << int(size[order[low]]).bit_length()
+        same = int(np.searchsorted(size[order], width, "left"))
+        high = min(same, low + max(1, cells // width))
+        yield order[low:high]
+        low = high
+
+
+def table_of(runs: list[np.ndarray]) -> np.ndarray:
+    """Runs of words as rows, filled up by zero."""
+    out = np.zeros((len(runs), max(map(len, runs), default=0)), np.uint64)
+    for k, run in enumerate(runs):
+        out[k, : len(run)] = run
+    return out
+
+
 def _ends(pattern: np.ndarray, text: np.ndarray, free: bool) -> np.ndarray:
     """Edit distance of the pattern to the best run that ends at each place (``free``), or to each prefix of the text."""
     count = np.arange(len(text) + 1)
@@ -127,10 +150,9 @@ class Items:
             near = np.zeros(1 << 16, bool)
             near[gram >> np.uint64(48)] = True
             self.runs[q] = (near, gram, np.array([r[1] for r in rows]), np.array([r[2] for r in rows]))
-        table = np.zeros((len(self.words), int(self.size.max(initial=0))), np.uint64)
-        for k, words in enumerate(self.words):
-            table[k, : len(words)] = words
-        found = keys(table, self.size, settings) if len(table) else np.zeros((0, 1), np.uint64)
+        found = np.zeros((len(self.words), settings.walks * settings.samples), np.uint64)
+        for some in by_size(self.size, settings.cells):
+            found[some] = keys(table_of([self.words[k] for k in some.tolist()]), self.size[some], settings)
         order = np.argsort(found.ravel(), kind="stable")
         self.keys, self.key_item = found.ravel()[order], order // found.shape[1]
 
@@ -147,10 +169,12 @@ class Items:
             at, low, number = at[inside], low[inside], (high - low)[inside]
             entry = np.repeat(low - (np.cumsum(number) - number), number) + np.arange(int(number.sum()))
             at = np.repeat(at, number)
-            spread = 2 * self.allowed[item[entry]] + 1
+            # a start that is left out is a few words from one that isn't: little beside the edits that an item so long may have
+            step = np.maximum(-(-self.allowed[item[entry]] // self.settings.spread), 1)
+            spread = 2 * (self.allowed[item[entry]] // step) + 1
             shift = np.arange(int(spread.sum())) - np.repeat(np.cumsum(spread) - spread, spread)
-            at, entry = np.repeat(at, spread), np.repeat(entry, spread)
-            start = at - place[entry] + shift - self.allowed[item[entry]]
+            at, entry, step = np.repeat(at, spread), np.repeat(entry, spread), np.repeat(step, spread)
+            start = (at - place[entry]) // step * step + step * (shift - self.allowed[item[entry]] // step)
             keep = (start >= first[text[at]]) & (start < first[text[at] + 1])
             out.append(np.column_stack([text[at], start, self.size[item[entry]]])[keep])
         return np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 3), np.int64)
@@ -192,14 +216,9 @@ class Items:
         size = np.concatenate([w[3] for w in waiting])
         text = np.repeat(np.arange(len(waiting)), [len(w[3]) for w in waiting])
         start = np.concatenate([w[2] for w in waiting])
-        at = np.arange(int(size.max()))
-        for low in range(0, len(size), 1 << 13):  # so many windows are embedded at a time
-            some = slice(low, low + (1 << 13))
-            table = np.zeros((len(size[some]), len(at)), np.uint64)
-            for k, (t, s, n) in enumerate(zip(text[some].tolist(), start[some].tolist(), size[some].tolist())):
-                run = waiting[t][1][s : s + n]
-                table[k, : len(run)] = run
-            window, item = self.candidates(table, size[some])
+        for some in by_size(size, self.settings.cells):
+            runs = [waiting[t][1][s : s + n] for t, s, n in zip(text[some].tolist(), start[some].tolist(), size[some].tolist())]
+            window, item = self.candidates(np.pad(table_of(runs), ((0, 0), (0, int(size[some].max()) - max(map(len, runs))))), size[some])
             rows.append(np.column_stack([text[some][window], item, start[some][window]]))
         pairs = np.concatenate(rows)
         pairs = pairs[np.lexsort((pairs[:, 2], pairs[:, 1], pairs[:, 0]))]
@@ -233,12 +252,14 @@ def contaminated(
 
     Words are compared in lower case, ASCII signs part them.  A passage counts if at most ``edits`` of the item's words
     (rounded down) must be inserted, deleted or replaced.  Null texts are empty; items without words (or a null id) match
-    nothing; equal rows and items give equal rows.  Items are taken in blocks of ``block_items``, each sent to all tasks, so
-    a larger benchmark costs more passes, not more memory.
+    nothing; equal rows and items give equal rows.  Items are taken in blocks of about ``block_items`` and ``block_bytes``,
+    each sent to all tasks, so a larger benchmark costs more passes, not more memory.  Items of any length are embedded in
+    groups of like size; of items of over 5 x ``spread`` words (at 20 % of edits) not every start is tried.
     """
     texts = keyed(documents, id, text)
     items = texts_of(benchmark, item, item_text).where("id IS NOT NULL")
-    blocks = max(1, -(-items.count() // settings.block_items))
+    number, size = items.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+    blocks = max(1, -(-number // settings.block_items), -(-(size or 0) // settings.block_bytes))
     out = None
     for block in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == block).orderBy("id", "text").collect()

@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 from awkward import corpus, documents, empty, prose
 
-from statquarry.llm.decontaminate import Items, Settings, best_run, contaminated, without_contaminated, words_of
+from statquarry.llm.decontaminate import Items, Settings, best_run, by_size, contaminated, without_contaminated, words_of
 
 
 def edited(words, edits, draw, vocabulary):
@@ -98,3 +98,33 @@ def test_blocks_of_items_and_empty_tables(spark):
     assert contaminated(empty(spark), items).collect() == []
     assert contaminated(documents(spark, rows), items.limit(0)).collect() == []
     assert without_contaminated(documents(spark, rows), items.limit(0)).count() == len(rows)
+
+
+def test_size_classes_give_the_keys_of_one_table():
+    draw = random.Random(8)
+    vocabulary = sorted(set(prose(3, 2000, 500).split(" ")))
+    items = [" ".join(draw.choice(vocabulary) for _ in range(n)) for n in (1, 2, 3, 5, 8, 31, 32, 33, 60, 200)]
+    one, many = (Items(list(range(len(items))), items, Settings(cells=c)) for c in (1 << 30, 1))
+    assert np.array_equal(one.keys, many.keys) and np.array_equal(one.key_item, many.key_item)
+    groups = list(by_size(np.array([5, 900, 4, 7, 6, 1000, 64]), 1 << 11))
+    assert sorted(k for g in groups for k in g.tolist()) == list(range(7)) and [g.tolist() for g in groups][:1] == [[2, 0, 4, 3]]
+
+
+def test_a_very_long_item_and_recall_through_a_table(spark):
+    """Passages with all allowed numbers of edits as a table, beside an item of 6,000 words that one document quotes."""
+    draw = random.Random(12)
+    vocabulary = sorted(set(prose(5, 3000, 800).split(" ")))
+    items = [[draw.choice(vocabulary) for _ in range(draw.randint(8, 80))] for _ in range(60)]
+    long = [draw.choice(vocabulary) for _ in range(6_000)]
+    rows, planted = [], set()
+    for k, item in enumerate(items):
+        for edits in range(0, len(item) // 5 + 1, 2):
+            around = [draw.choice(vocabulary) for _ in range(40)]
+            planted.add((len(rows), k))
+            rows.append((len(rows), " ".join(around[:20] + edited(item, edits, draw, vocabulary) + around[20:])))
+    rows += [(9000, " ".join(edited(long, 60, draw, vocabulary))), (9001, " ".join(long[:2_700])), (9002, prose(77, 9_000))]
+    benchmark = spark.createDataFrame([(k, " ".join(i)) for k, i in enumerate(items)] + [(500, " ".join(long))], "item_id long, text string")
+    found = contaminated(documents(spark, rows), benchmark, Settings(block_bytes=50_000)).collect()
+    got = {(r.doc_id, r.item_id) for r in found}
+    assert len(planted & got) >= 0.9 * len(planted) and (9000, 500) in got and (9001, 500) not in got
+    assert all(r.distance <= r.item_words // 5 for r in found)
