@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from statquarry.llm.arrays import join_words, map_slices, split_words, utf8
 from statquarry.llm.components import connected
-from statquarry.llm.storage import ID, KEY, keyed, saved, with_key
+from statquarry.llm.storage import ID, KEY, keyed, same_row, saved, with_key
 from statquarry.session import splittable_join
 
 BYTES, BITS = 8, 3
@@ -222,10 +222,10 @@ def one_of_each(
 
     Of rows that are equal in id and text one stays.  A null id counts as larger than any other.
     """
-    last = (1 << 63) - 1
+    of_none = F.col("doc_id").isNull()
     stay = near_copies(documents, id, text, shingle, bits).groupBy("root").agg(
-        F.min(F.struct(F.coalesce("doc_id", F.lit(last)).alias("id"), "key")).alias("stay")
-    ).select("stay.*")
-    rows = with_key(documents, id, text).withColumn(ID, F.coalesce(F.col(ID), F.lit(last)))
-    kept = rows.join(stay, (rows[ID] == stay["id"]) & (rows[KEY] == stay["key"]), "left_semi")
+        F.min(F.struct(of_none.alias("none"), F.col("doc_id").alias("id"), "key")).alias("stay")
+    ).select("stay.id", "stay.key")
+    rows = with_key(documents, id, text)
+    kept = rows.join(stay, same_row(rows, stay), "left_semi")
     return kept.dropDuplicates([ID, KEY]).select(*[F.col(f"`{c}`") for c in documents.columns])

@@ -92,3 +92,11 @@ def test_components_of_paths_and_stars(spark):
     edges = [(k, k + 1) for k in range(0, 60)] + [(100, k) for k in range(101, 160)] + [(200, 200), (300, 301), (301, 300)]
     got = {r.a: r.b for r in connected(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{k: 0 for k in range(1, 61)}, **{k: 100 for k in range(101, 160)}, 301: 300}
+
+
+def test_a_null_id_is_not_the_largest_number(spark):
+    from statquarry.llm.simhash import one_of_each
+
+    rows = [(None, prose(1, 50)), ((1 << 63) - 1, prose(2, 50)), (None, prose(3, 50)), ((1 << 63) - 1, prose(3, 50))]
+    kept = {(r.doc_id, r.text) for r in one_of_each(documents(spark, rows)).collect()}
+    assert kept == {(None, prose(1, 50)), ((1 << 63) - 1, prose(2, 50)), ((1 << 63) - 1, prose(3, 50))}
