@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statquarry.llm.arrays import M1, PAD, _LOW, hash_slices, join_words, lanes, map_slices, mix, sliced, split_words, utf8
+from statquarry.llm.arrays import M1, PAD, _LOW, hash_slices, join_words, lanes, map_slices, mix, release, sliced, split_words, utf8
 from statquarry.llm.tokens import texts_of
 
 SLICE_BYTES = 1 << 20
@@ -256,8 +256,8 @@ def fitted(documents: DataFrame, labels: DataFrame, settings: Settings, id: str,
         toxic = table.column("toxic").to_numpy()
         del table
         model = train(words, toxic, settings)
-        del words
-        pa.default_memory_pool().release_unused()
+        del words, toxic
+        release()
         yield pa.RecordBatch.from_arrays(
             [pa.array([model.weights.tobytes()], pa.binary()), pa.array([model.bias])], names=["weights", "bias"]
         )
