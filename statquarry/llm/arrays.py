@@ -43,6 +43,18 @@ def release() -> None:
         trim(0)
 
 
+def released(function: Callable) -> Callable:
+    """``function`` on a group's rows, with ``release`` after every group."""
+
+    def run(rows):
+        out = function(rows)
+        del rows
+        release()
+        return out
+
+    return run
+
+
 def map_slices(
     df: DataFrame, text: str, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType,
     limit: int = SLICE_BYTES,

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statquarry.llm.arrays import M1, mix
+from statquarry.llm.arrays import M1, mix, release
 
 BLOCK_BITS = 19
 FAN = 48
@@ -77,6 +77,8 @@ def _planes(arrays: Iterator[np.ndarray], depth: int, bits: int) -> Iterator[pa.
              pa.array(once, pa.binary()), pa.array(twice, pa.binary())],
             names=["line", "block", "part", "once", "twice"],
         )
+    del counted, rows
+    release()
 
 
 def _merge(group: pd.DataFrame) -> pd.DataFrame:

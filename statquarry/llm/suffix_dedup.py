@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statquarry.llm.arrays import M1, PAD, Rolling, as_binary, lanes, map_slices, mix, ranges, utf8
+from statquarry.llm.arrays import M1, PAD, Rolling, as_binary, lanes, map_slices, mix, ranges, released, utf8
 from statquarry.llm.repeats import Rule, Spans, contents, distinct_spans, occurrences
 from statquarry.llm.storage import keyed, matches, same_row, saved, with_key
 from statquarry.llm.substring_dedup import covered
@@ -215,13 +215,13 @@ def repeated_byte_spans(
     marks = saved(
         drawn.withColumn("shard", F.pmod(F.xxhash64("gram", F.pmod("run", F.greatest("parts", F.lit(1)))), F.lit(shards)))
         .groupBy("shard").applyInArrow(
-            lambda rows: _shard(rows, window, lots),
+            released(lambda rows: _shard(rows, window, lots)),
             "gram long, run long, mask array<boolean>, offers array<struct<lot: int, body: binary>>",
         ), "marks",
     )
     across = (
         marks.select(F.explode("offers").alias("offer")).select("offer.*").groupBy("lot")
-        .applyInArrow(lambda rows: _meet(rows), "gram long, run long, places array<long>")
+        .applyInArrow(released(lambda rows: _meet(rows)), "gram long, run long, places array<long>")
         .groupBy("gram", "run").agg(F.flatten(F.collect_list("places")).alias("places"))
     )
     masks = marks.join(across, ["gram", "run"], "left").select(

@@ -24,6 +24,7 @@ from statquarry.llm.arrays import M1, PAD, _LOW, hash_slices, join_words, lanes,
 from statquarry.llm.tokens import texts_of
 
 SLICE_BYTES = 1 << 20
+STRIPE = 1 << 14  # so many rows of the table are filled or moved at a time
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -105,12 +106,18 @@ class Model:
         return 1 / (1 + np.exp(-out))
 
 
+def stretches(buf: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The given runs of bytes, one after another."""
+    stop = np.cumsum(size)
+    return buf[np.repeat(start - (stop - size), size) + np.arange(int(stop[-1]) if len(stop) else 0)]
+
+
 def vocabulary(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Different words: their bytes, each after a blank, and where each begins; and the (text, word) pairs there are.
 
     Works through slices of the texts, as tasks do: memory hangs on the number of words, not on their bytes times eight.
     """
-    docs, words, known, held, row = [], [], [], [], 0
+    docs, words, known, bodies, sizes, row = [], [], [], [], [], 0
     batch = pa.RecordBatch.from_arrays([texts], names=["text"])
     for part in sliced([batch], "text", SLICE_BYTES):
         line, blank, first = bordered(*utf8(part.column("text")))
@@ -120,14 +127,18 @@ def vocabulary(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
         docs.append((doc + row).astype(np.int32))
         words.append(word.astype(np.int32))
         known.append(found)
-        held += [line[a : a + n].tobytes() for a, n in zip(blank[at].tolist(), size[at].tolist())]
+        bodies.append(stretches(line, blank[at], size[at]))
+        sizes.append(size[at])
         row += part.num_rows
     names, at = np.unique(np.concatenate([np.zeros(0, np.uint64), *known]), return_index=True)
-    body = [held[k] for k in at.tolist()]
     words = [np.searchsorted(names, found).astype(np.int32)[word] for found, word in zip(known, words)]
-    line = np.frombuffer(b"".join(body) + b" " * (1 + PAD), np.uint8)
+    line, size = np.concatenate([np.zeros(0, np.uint8), *bodies]), np.concatenate([np.zeros(0, np.int64), *sizes])
+    del bodies, sizes, known, names
+    begin, size = (np.cumsum(size) - size)[at], size[at]
+    parts = [stretches(line, begin[k : k + STRIPE], size[k : k + STRIPE]) for k in range(0, len(at), STRIPE)]
+    line = np.concatenate([*parts, np.full(1 + PAD, 32, np.uint8)])
     empty = np.zeros(0, np.int32)
-    return line, np.cumsum([0, *map(len, body)]), np.concatenate([empty, *docs]), np.concatenate([empty, *words])
+    return line, np.append(0, np.cumsum(size)), np.concatenate([empty, *docs]), np.concatenate([empty, *words])
 
 
 def train(texts: pa.Array | list[str], toxic: np.ndarray, settings: Settings = Settings()) -> Model:
@@ -148,9 +159,13 @@ def train(texts: pa.Array | list[str], toxic: np.ndarray, settings: Settings = S
         block = np.concatenate([line[at[0] : at[-1]], np.full(1 + PAD, 32, np.uint8)])
         of = np.repeat(np.arange(low, low + len(at) - 1, dtype=np.int32), np.diff(at))
         bags += [(rows[inside], of[inside]) for rows, inside in grams(block, at[:-1] - at[0], settings)]
+    del line, begin
+    release()
     count = sum(np.bincount(words, minlength=number) for _, words in bags)
     draw = np.random.default_rng(settings.seed)
-    table = (draw.standard_normal((1 << settings.bits, settings.size)) / settings.size).astype(np.float32)
+    table = np.empty((1 << settings.bits, settings.size), np.float32)
+    for low in range(0, len(table), STRIPE):
+        table[low : low + STRIPE] = draw.standard_normal(table[low : low + STRIPE].shape) / settings.size
     out = (draw.standard_normal((settings.size, 2)) / settings.size).astype(np.float32)
     bias = np.zeros(2, np.float32)
     seen = [np.full_like(x, 1e-6) for x in (table, out, bias)]
@@ -167,6 +182,10 @@ def train(texts: pa.Array | list[str], toxic: np.ndarray, settings: Settings = S
             total[low : low + len(part)] += part
         return total / count + (bias[1] - bias[0])
 
+    def step(place, x: np.ndarray, grad: np.ndarray, past: np.ndarray) -> None:
+        past[place] += grad * grad
+        x[place] -= settings.rate * grad / np.sqrt(past[place])
+
     def descend(error: np.ndarray, bags: list, count: np.ndarray) -> None:
         """One AdaGrad step along the gradient of the loss by every word's log odds."""
         part = error / count
@@ -175,13 +194,11 @@ def train(texts: pa.Array | list[str], toxic: np.ndarray, settings: Settings = S
         by_row = by_row[moved]
         grad_out = by_row @ table[moved]
         toward = out[:, 1] - out[:, 0]
-        for place, x, grad, past in (
-            (moved, table, by_row[:, None] * toward, seen[0]),
-            (slice(None), out, np.column_stack([-grad_out, grad_out]), seen[1]),
-            (slice(None), bias, np.array([-error.sum(), error.sum()], np.float32), seen[2]),
-        ):
-            past[place] += grad * grad
-            x[place] -= settings.rate * grad / np.sqrt(past[place])
+        # the table's rows move stripe by stripe, so that temporary arrays stay small beside it
+        for low in range(0, len(moved), STRIPE):
+            step(moved[low : low + STRIPE], table, by_row[low : low + STRIPE, None] * toward, seen[0])
+        step(slice(None), out, np.column_stack([-grad_out, grad_out]), seen[1])
+        step(slice(None), bias, np.array([-error.sum(), error.sum()], np.float32), seen[2])
 
     for _ in range(settings.first_rounds):
         odds = 1 / (1 + np.exp(-word_logits(bags, count)))
@@ -191,6 +208,7 @@ def train(texts: pa.Array | list[str], toxic: np.ndarray, settings: Settings = S
     for turn in range(settings.rounds):
         if turn % settings.refresh == 0:
             # the most toxic words of every document, and their bags
+            some = None
             logits, most = word_logits(bags, count).astype(np.float32), settings.looked_at
             near = np.concatenate([
                 low + (np.argpartition(-logits[word[low:high]], most)[:most] if high - low > most else np.arange(high - low))
@@ -203,6 +221,7 @@ def train(texts: pa.Array | list[str], toxic: np.ndarray, settings: Settings = S
             some = [tuple(map(np.concatenate, zip(*some)))]
             words, at_doc, few = again[word[near]], slot[near], count[chosen]
             del logits, near, again
+            release()
             begin = np.flatnonzero(np.append(True, at_doc[1:] != at_doc[:-1]))
         own = word_logits(some, few)[words]
         best = np.maximum.reduceat(own, begin)[at_doc]
