@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from pathlib import Path
 
 import numpy as np
@@ -15,6 +16,7 @@ from statquarry.llm.arrays import map_slices
 from statquarry.llm.transducer import MAX_KNOWN, Memo, Pieces, Specification, TokenCounts, different
 
 SLICE_BYTES = 1 << 20
+ENCODED = 1 << 11  # pieces that the library encodes at a time: each encoding is an object of a kilobyte
 _HELD: dict[str, tuple[int, object]] = {}
 
 
@@ -27,6 +29,11 @@ def held(kind: type, shared: Broadcast):
     return made
 
 
+def forget() -> None:
+    """Drop what this worker holds for later tasks; they make it again."""
+    _HELD.clear()
+
+
 def specification(documents: DataFrame, path: str) -> Broadcast:
     """The compiled tables of a tokenizer file (a few MB, whatever the corpus), for all tasks."""
     return documents.sparkSession.sparkContext.broadcast(Specification(Path(path).read_text(encoding="utf-8")))
@@ -61,6 +68,7 @@ class TokenIds:
 
     def __init__(self, specification: Specification):
         self.pieces = Pieces(specification)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; threads would hold memory of their own
         self.library = Tokenizer.from_str(specification.content)
         self.clear()
 
@@ -82,10 +90,14 @@ class TokenIds:
         if len(fresh):
             body = buf.tobytes()
             at = place[fresh]
-            words = [body[a:b].decode("utf-8", "surrogatepass") for a, b in zip(start[at].tolist(), end[at].tolist())]
-            found = [e.ids for e in self.library.encode_batch(words, add_special_tokens=False)]
-            size = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(size.sum()))
+            sizes, flats = [], []
+            for low in range(0, len(at), ENCODED):
+                some = at[low : low + ENCODED]
+                words = [body[a:b].decode("utf-8", "surrogatepass") for a, b in zip(start[some].tolist(), end[some].tolist())]
+                found = [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
+                sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+                flats.append(np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes[-1].sum())))
+            size, flat = np.concatenate(sizes), np.concatenate(flats)
             while self.used + len(flat) > len(self.store):
                 self.store = np.concatenate([self.store, np.zeros_like(self.store)])
             self.store[self.used : self.used + len(flat)] = flat

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statquarry.llm.arrays import M1, PAD, _LOW, hash_slices, join_words, lanes, map_slices, mix, release, sliced, split_words, utf8
-from statquarry.llm.tokens import texts_of
+from statquarry.llm.tokens import forget, texts_of
 
 SLICE_BYTES = 1 << 20
 STRIPE = 1 << 14  # so many rows of the table are filled or moved at a time
@@ -143,8 +143,13 @@ def vocabulary(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
 
 def train(texts: pa.Array | list[str], toxic: np.ndarray, settings: Settings = Settings()) -> Model:
     """Fit vectors and softmax on whole texts.  With one class only, or no word, the score is the toxic share."""
+    return learn(vocabulary(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())), toxic, settings)
+
+
+def learn(found: tuple, toxic: np.ndarray, settings: Settings = Settings()) -> Model:
+    """Fit vectors and softmax on what ``vocabulary`` returns of the texts."""
     toxic = np.asarray(toxic, float)
-    line, begin, doc, word = vocabulary(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string()))
+    line, begin, doc, word = found
     number = len(begin) - 1
     if not number or not 0 < toxic.sum() < len(toxic):
         share = (toxic.sum() + 0.01) / (len(toxic) + 1)
@@ -152,16 +157,21 @@ def train(texts: pa.Array | list[str], toxic: np.ndarray, settings: Settings = S
     head = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
     label = toxic[doc[head]]
     slot = np.repeat(np.arange(len(head), dtype=np.int32), np.diff(np.append(head, len(doc))))
-    # bags of the different words: table rows and word numbers, one pair of columns for each n-gram length and block
+    del found, doc
+    # bags of the different words, for each n-gram length and block: table rows, and how many of them each word has
     bags = []
     for low in range(0, number, 1 << 15):
         at = begin[low : low + (1 << 15) + 1]
         block = np.concatenate([line[at[0] : at[-1]], np.full(1 + PAD, 32, np.uint8)])
-        of = np.repeat(np.arange(low, low + len(at) - 1, dtype=np.int32), np.diff(at))
-        bags += [(rows[inside], of[inside]) for rows, inside in grams(block, at[:-1] - at[0], settings)]
-    del line, begin
+        bags += [
+            (rows[inside], low, np.add.reduceat(inside, at[:-1] - at[0], dtype=np.int32))
+            for rows, inside in grams(block, at[:-1] - at[0], settings)
+        ]
+    del line, begin, block
     release()
-    count = sum(np.bincount(words, minlength=number) for _, words in bags)
+    count = np.zeros(number, np.int64)
+    for _, low, sizes in bags:
+        count[low : low + len(sizes)] += sizes
     draw = np.random.default_rng(settings.seed)
     table = np.empty((1 << settings.bits, settings.size), np.float32)
     for low in range(0, len(table), STRIPE):
@@ -169,17 +179,20 @@ def train(texts: pa.Array | list[str], toxic: np.ndarray, settings: Settings = S
     out = (draw.standard_normal((settings.size, 2)) / settings.size).astype(np.float32)
     bias = np.zeros(2, np.float32)
     seen = [np.full_like(x, 1e-6) for x in (table, out, bias)]
-    with_toxic = np.bincount(word, weights=label[slot], minlength=number)
-    with_any = np.bincount(word, minlength=number)
-    one, zero = with_toxic / label.sum(), (with_any - with_toxic) / (1 - label).sum()
+    one, zero = np.zeros(number), np.zeros(number)
+    for low in range(0, len(word), 1 << 19):
+        of, sign = word[low : low + (1 << 19)], label[slot[low : low + (1 << 19)]]
+        one += np.bincount(of, weights=sign, minlength=number)
+        zero += np.bincount(of, weights=1 - sign, minlength=number)
+    one, zero = one / label.sum(), zero / (1 - label).sum()
 
     def word_logits(bags: list, count: np.ndarray) -> np.ndarray:
         value = table @ (out[:, 1] - out[:, 0])
         total = np.zeros(len(count))
-        for rows, words in bags:
-            low = int(words.min(initial=len(count)))  # the words of a block follow one another
-            part = np.bincount(words - low, weights=value[rows])
-            total[low : low + len(part)] += part
+        for rows, low, sizes in bags:
+            total[low : low + len(sizes)] += np.bincount(
+                np.repeat(np.arange(len(sizes)), sizes), weights=value[rows], minlength=len(sizes)
+            )
         return total / count + (bias[1] - bias[0])
 
     def step(place, x: np.ndarray, grad: np.ndarray, past: np.ndarray) -> None:
@@ -189,7 +202,10 @@ def train(texts: pa.Array | list[str], toxic: np.ndarray, settings: Settings = S
     def descend(error: np.ndarray, bags: list, count: np.ndarray) -> None:
         """One AdaGrad step along the gradient of the loss by every word's log odds."""
         part = error / count
-        by_row = sum(np.bincount(rows, weights=part[words], minlength=len(table)) for rows, words in bags).astype(np.float32)
+        by_row = np.zeros(len(table))
+        for rows, low, sizes in bags:
+            by_row += np.bincount(rows, weights=np.repeat(part[low : low + len(sizes)], sizes), minlength=len(table))
+        by_row = by_row.astype(np.float32)
         moved = np.flatnonzero(by_row)
         by_row = by_row[moved]
         grad_out = by_row @ table[moved]
@@ -212,15 +228,17 @@ def train(texts: pa.Array | list[str], toxic: np.ndarray, settings: Settings = S
             logits, most = word_logits(bags, count).astype(np.float32), settings.looked_at
             near = np.concatenate([
                 low + (np.argpartition(-logits[word[low:high]], most)[:most] if high - low > most else np.arange(high - low))
-                for low, high in zip(head.tolist(), [*head[1:].tolist(), len(doc)])
+                for low, high in zip(head.tolist(), [*head[1:].tolist(), len(word)])
             ])
             chosen = np.unique(word[near])
-            again = np.full(number, -1, np.int32)
-            again[chosen] = np.arange(len(chosen))
-            some = [(rows[kept], again[words[kept]]) for rows, words in bags for kept in [again[words] >= 0]]
-            some = [tuple(map(np.concatenate, zip(*some)))]
+            taken, again = np.zeros(number, bool), np.full(number, -1, np.int32)
+            taken[chosen], again[chosen] = True, np.arange(len(chosen))
+            some = []
+            for rows, low, sizes in bags:
+                own = taken[low : low + len(sizes)]
+                some.append((rows[np.repeat(own, sizes)], int(taken[:low].sum()), sizes[own]))
             words, at_doc, few = again[word[near]], slot[near], count[chosen]
-            del logits, near, again
+            del logits, near, again, taken
             release()
             begin = np.flatnonzero(np.append(True, at_doc[1:] != at_doc[:-1]))
         own = word_logits(some, few)[words]
@@ -230,7 +248,7 @@ def train(texts: pa.Array | list[str], toxic: np.ndarray, settings: Settings = S
         error = np.where(counts, 1 / (1 + np.exp(-own)) - label[at_doc], 0.0) / len(head)
         descend(np.bincount(words, weights=error, minlength=len(few)), some, few)
     used = np.zeros(len(table), bool)
-    for rows, _ in bags:
+    for rows, _, _ in bags:
         used[rows] = True
     value = table @ (out[:, 1] - out[:, 0])
     value[~used] = 0  # n-grams never seen say nothing
@@ -274,8 +292,11 @@ def fitted(documents: DataFrame, labels: DataFrame, settings: Settings, id: str,
         words = words.chunk(0) if isinstance(words, pa.ChunkedArray) else words
         toxic = table.column("toxic").to_numpy()
         del table
-        model = train(words, toxic, settings)
-        del words, toxic
+        known = [vocabulary(words)]
+        del words
+        forget()
+        release()
+        model = learn(known.pop(), toxic, settings)
         release()
         yield pa.RecordBatch.from_arrays(
             [pa.array([model.weights.tobytes()], pa.binary()), pa.array([model.bias])], names=["weights", "bias"]
