@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statquarry.llm.arrays import M1, PAD, Rolling, as_binary, lanes, map_slices, mix, ranges, released, utf8
+from statquarry.llm.arrays import M1, PAD, Rolling, as_binary, lanes, map_slices, mix, ranges, release, released, utf8
 from statquarry.llm.repeats import Rule, Spans, contents, distinct_spans, occurrences
 from statquarry.llm.storage import keyed, matches, same_row, saved, with_key
 from statquarry.llm.substring_dedup import covered
@@ -45,24 +45,25 @@ def suffix_array(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     are not looked at again.
     """
     n, strings = int(offsets[-1]), len(offsets) - 1
-    string = np.repeat(np.arange(strings), np.diff(offsets))
-    left = offsets[1:][string] - np.arange(n)
+    # places and depths fit into 32 bits: a shard holds a few MB
+    string = np.repeat(np.arange(strings, dtype=np.int32), np.diff(offsets))
+    left = offsets[1:].astype(np.int32)[string] - np.arange(n, dtype=np.int32)
     # seven bytes and, in the last place, how many of them there are; 255 stands for all
     short = np.minimum(left, 7)
     head = lanes(buf)[:n].byteswap()
     head &= _HIGH[short]
     head |= np.where(left < 7, left, 255).astype(np.uint64)
-    order = np.argsort(head)
+    order = np.argsort(head).astype(np.int32)
     ordered = head[order]
+    del head, short
     ending = np.flatnonzero((ordered & np.uint64(255)) < 7)  # suffixes that differ by their ends, in the strings' order
     order[ending] = order[ending][np.lexsort((order[ending], ordered[ending]))]
     fresh = np.ones(n, bool)
     fresh[1:] = ordered[1:] != ordered[:-1]
     fresh[ending] = True
-    slots = np.arange(n)
-    group = np.maximum.accumulate(np.where(fresh, slots, 0))
-    rank = np.empty(n, np.int64)
-    rank[order] = group
+    del ordered, ending
+    rank = np.empty(n, np.int32)
+    rank[order] = np.maximum.accumulate(np.where(fresh, np.arange(n, dtype=np.int32), 0))
     depth, triple = 7, n + strings < 1 << 21
 
     def follower(at: np.ndarray, steps: int) -> np.ndarray:
@@ -79,8 +80,9 @@ def suffix_array(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     active = np.flatnonzero(~single)
     while len(active):
         at = order[active]
-        key = (rank[at] << 42) | (follower(at, depth) << 21) | follower(at, 2 * depth) if triple else (
-            (rank[at] << 32) | follower(at, depth)
+        lead = rank[at].astype(np.int64)
+        key = (lead << 42) | (follower(at, depth) << 21) | follower(at, 2 * depth) if triple else (
+            (lead << 32) | follower(at, depth)
         )
         sort = np.argsort(key)
         at, key = at[sort], key[sort]
@@ -104,11 +106,11 @@ def common_prefixes(
     """
     eight, n, sizes = lanes(buf), int(offsets[-1]), np.diff(offsets)
     heads = sizes if heads is None else heads
-    string = np.repeat(np.arange(len(sizes)), sizes)
-    end = offsets[1:][string]
-    chosen = np.arange(n) - offsets[:-1][string] < heads[string]
+    string = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    end = offsets[1:].astype(np.int32)[string]
+    chosen = np.arange(n, dtype=np.int32) - offsets[:-1].astype(np.int32)[string] < heads.astype(np.int32)[string]
     found = order[chosen[order]]
-    slot_of = np.zeros(n + 1, np.int64)
+    slot_of = np.zeros(n + 1, np.int32)
     slot_of[found] = np.arange(len(found))
     goes_on = np.append(chosen[1:] & (string[1:] == string[:-1]), False) if n else chosen
     out = np.zeros(len(found), np.int64)
@@ -146,9 +148,12 @@ def _shard(rows: pa.Table, window: int, lots: int) -> pa.Table:
     spread = rows.column("parts").to_numpy() > 1
     order, rank = suffix_array(buf, offsets)
     chosen, prefix = common_prefixes(buf, offsets, order, rank, window, n)
+    size = len(order)
+    del order, rank
+    release()
     own = np.repeat(offsets[:-1] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))  # places of the windows
     with_last = prefix >= window
-    marked, lead = np.zeros(len(order), bool), np.zeros(len(order), bool)
+    marked, lead = np.zeros(size, bool), np.zeros(size, bool)
     marked[chosen] = with_last | np.append(with_last[1:], False)
     lead[chosen] = ~with_last
     bounds = pa.array(np.append(0, np.cumsum(n)).astype(np.int32))
