@@ -38,6 +38,33 @@ def test_figures_and_base_rules(spark):
         assert math.isfinite(r.score) and not (r.kept and r.base_failed)
 
 
+def plain_features(text):
+    w = ["".join(c.lower() if "A" <= c <= "Z" else c for c in x) for x in words(text)]
+    return [(x,) for x in w] + list(zip(w, w[1:]))
+
+
+def test_scores_and_verdicts_against_counts_of_whole_n_grams(spark):
+    rows = [(k, prose(k, 15 + 9 * k, 12)) for k in range(20)] + [(k, prose(k, 60, 12).upper() + " $") for k in range(20, 26)]
+    rows += [(30, None), (31, ""), (32, "É A a"), (3, "the id of another text"), (4, rows[4][1]), (None, prose(1, 30, 12))]
+    trusted = [0, 2, 3, 4, 8, 9, 21, 32]
+    of_all, of_trusted = Counter(), Counter()
+    for i, text in rows:
+        of_all.update(plain_features(text))
+        of_trusted.update(plain_features(text) if i in trusted else [])
+    share = sum(of_trusted.values()) / sum(of_all.values())
+    ratio = {f: math.log((of_trusted[f] + 20) / (n * share + 20)) for f, n in of_all.items()}
+    wanted = []
+    for i, text in rows:
+        found, n, *_, repeated = (plain_features(text), *plain(text))
+        score = sum(ratio[f] for f in found) / max(len(found), 1)
+        wanted.append((i is None, i, round(score, 9), not (n < 20 or 100 * repeated > 30 * n) and score >= -0.05))
+    table = spark.createDataFrame([(i,) for i in [*trusted, 8, 999, None]], "doc_id long")
+    got = quality(documents(spark, rows), table, buckets=1 << 22).collect()  # so many that no two n-grams share one
+    order = lambda x: (x[0], x[1] or 0, x[2])
+    assert sorted(((r.doc_id is None, r.doc_id, round(r.score, 9), r.kept) for r in got), key=order) == sorted(wanted, key=order)
+    assert {kept for *_, kept in wanted} == {True, False}
+
+
 def test_junk_goes_and_clean_texts_stay(spark):
     clean = [(k, prose(k % 5, 200 + k, 300)) for k in range(200)]
     bad = [(1000 + k, junk(k % 5, 200)) for k in range(40)]

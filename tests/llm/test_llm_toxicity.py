@@ -1,10 +1,12 @@
 import random
 import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from awkward import DOCUMENTS, corpus, documents, empty, prose
 
-from statquarry.llm.toxicity import Settings, toxicity, without_toxic
+from statquarry.llm.toxicity import Model, Settings, toxicity, train, without_toxic
 
 INSULTS = ["grobnik", "verdamling", "schuftig", "lumpazi"]
 FAST = Settings(bits=14, size=8)
@@ -79,5 +81,119 @@ def test_filter_keeps_whole_rows(spark):
     assert DOCUMENTS.split(",")[0].split()[0] in after.columns
 
 
+MASK = (1 << 64) - 1
+
+
+def spread(x):
+    x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & MASK
+    x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & MASK
+    return x ^ (x >> 31)
+
+
+def bag(word, settings):
+    """Table rows of a word, one n-gram at a time."""
+    golden, body, rows = 0x9E3779B97F4A7C15, word.encode(), []
+    bordered = b" " + body + b" "
+    for n in range(settings.shortest, settings.longest + 1):
+        for k in range(len(bordered) - n + 1):
+            rows.append(spread((int.from_bytes(bordered[k : k + n], "little") + n * golden) & MASK))
+    whole = spread(len(body) * golden & MASK)
+    for k in range(0, len(body), 8):
+        whole = spread(whole ^ int.from_bytes(body[k : k + 8], "little")) * golden & MASK
+    return [row >> (64 - settings.bits) for row in [*rows, spread(whole ^ golden)]]
+
+
+def test_scores_against_one_word_at_a_time():
+    settings = Settings(bits=12, size=4)
+    weights = np.random.default_rng(3).standard_normal(1 << 12).astype(np.float32)
+    model = Model(weights, -0.7, settings)
+    texts = ["a", "An Insult é", "", None, " \n ", "x" * 5000, prose(4, 300), "tab\tand line\nends", "same same same", "日本語 z"]
+    wanted = []
+    for text in texts:
+        words = "".join(c.lower() if c.isascii() else c for c in text or "").split()
+        logits = [np.mean([float(weights[row]) for row in bag(w, settings)]) - 0.7 for w in words]
+        wanted.append(1 / (1 + np.exp(-max(logits, default=-3.0))))
+    assert np.allclose(model.scores(pa.array(texts)), wanted, atol=1e-4)
+
+
+TEXTS, TOXIC = ["bad bald", "Fine day", "fine bad day", "a", "", "day day bald one two"], [1, 0, 1, 0, 1, 0]
+
+
+def stepped(settings, chosen):
+    """The model after one AdaGrad step along a gradient that is found by differences of the loss.
+
+    ``chosen`` gives (word, label, weight) for the loss, from the log odds of all words at the start.
+    """
+    draw, rows, size = np.random.default_rng(settings.seed), 1 << settings.bits, settings.size
+    at = np.concatenate([draw.standard_normal((rows, size)).ravel() / size, draw.standard_normal((size, 2)).ravel() / size, [0, 0]])
+    names = sorted({w for text in TEXTS for w in text.lower().split()})
+    bags = {w: bag(w, settings) for w in names}
+
+    def parts(x):
+        return x[: rows * size].reshape(rows, size), x[rows * size : -2].reshape(size, 2), x[-2:]
+
+    def odds(x):
+        table, out, bias = parts(x)
+        both = {w: table[bags[w]].mean(axis=0) @ out + bias for w in names}
+        return {w: two[1] - two[0] for w, two in both.items()}
+
+    terms = chosen(odds(at))
+
+    def loss(x):
+        own = odds(x)
+        return sum(weight * np.log1p(np.exp(own[w] if label == 0 else -own[w])) for w, label, weight in terms)
+
+    grad = np.zeros(len(at))
+    for k in range(len(at)):
+        up, down = at.copy(), at.copy()
+        up[k] += 1e-5
+        down[k] -= 1e-5
+        grad[k] = (loss(up) - loss(down)) / 2e-5
+    table, out, bias = parts(at - settings.rate * grad / np.sqrt(1e-6 + grad * grad))
+    value = table @ (out[:, 1] - out[:, 0])
+    value[sorted(set(range(rows)) - {row for b in bags.values() for row in b})] = 0
+    return value, bias[1] - bias[0]
+
+
+def test_the_first_rounds_follow_the_gradient_over_all_words():
+    settings = Settings(bits=6, size=2, first_rounds=1, rounds=0)
+
+    def chosen(_):
+        held = [(sorted(set(text.lower().split())), label) for text, label in zip(TEXTS, TOXIC) if text]
+        number = [sum(label == kind for _, label in held) for kind in (0, 1)]
+        return [(w, label, 1 / number[label]) for words, label in held for w in words]
+
+    value, bias = stepped(settings, chosen)
+    model = train(TEXTS, np.array(TOXIC), settings)
+    assert np.allclose(model.weights, value, atol=2e-3) and abs(model.bias - bias) < 2e-3
+
+
+def test_the_later_rounds_follow_the_most_toxic_words():
+    settings = Settings(bits=6, size=2, first_rounds=0, rounds=1)
+
+    def chosen(odds):
+        held = [(sorted(set(text.lower().split())), label) for text, label in zip(TEXTS, TOXIC) if text]
+        terms = []
+        for words, label in held:
+            best = max(odds[w] for w in words)
+            terms += [
+                (w, label, 1 / len(held)) for w in words
+                if odds[w] == best or label == 0 and (odds[w] >= best - 1 or odds[w] > 0)
+            ]
+        return terms
+
+    value, bias = stepped(settings, chosen)
+    model = train(TEXTS, np.array(TOXIC), settings)
+    assert np.allclose(model.weights, value, atol=2e-3) and abs(model.bias - bias) < 2e-3
+
+
+def test_a_very_long_labelled_text(spark):
+    rows, labels = planted(60)
+    rows += [(1000, prose(3, 30_000, 30_000)), (1003, "y" * 200_000)]
+    table = spark.createDataFrame([*labels, (1000, 1, 0), (1003, 1, 0)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.score for r in toxicity(documents(spark, rows), table, FAST).collect()}
+    assert len(got) == 62 and all(0 <= x <= 1 for x in got.values())
+
+
 def test_the_default_model_is_not_cut():
     assert (Settings().max_toxic, Settings().max_clean, Settings().size) == (4000, 8000, 16)
