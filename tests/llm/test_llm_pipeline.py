@@ -1,4 +1,5 @@
 import inspect
+from collections import Counter
 
 import corpus_pipeline
 import pytest
@@ -8,6 +9,8 @@ from test_llm_repeats import plain_bytes
 from test_llm_simhash import plain_components, plain_print
 from test_llm_toxicity import planted
 
+COLUMNS = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+
 
 @pytest.fixture(scope="module")
 def folder(spark, tmp_path_factory):
@@ -63,7 +66,26 @@ def test_stages_do_what_their_plain_versions_do(spark, folder, tmp_path):
     for r in pieces:
         filled[r.sequence_id] = filled.get(r.sequence_id, 0) + r.length
     assert max(filled.values()) <= 4096
+    # run() gives the pieces that the stages give one after another
+    whole = corpus_pipeline.run(spark, place)
+    assert whole.columns == COLUMNS
+    whole = whole.collect()
+    pieces, whole = (Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) for rows in (pieces, whole))
+    assert whole == pieces
+
+
+def test_empty_tables_give_no_pieces(spark, folder, tmp_path):
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{folder[0]}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.columns == COLUMNS and out.collect() == []
 
 
-def test_run_applies_all_stages(spark, folder):
-    assert corpus_pipeline.run(spark, folder[0]).columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+def test_without_labels_and_benchmark_only_copies_and_repeats_go(spark, folder, tmp_path):
+    texts = [(1, "one text"), (2, None), (3, "another text of its own"), (None, "no id here"), (4, "")]
+    spark.createDataFrame([(i, t, "en", 1, "k", "s", 2, "x", len(t or "")) for i, t in texts], DOCUMENTS).write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{folder[0]}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    # the null and the empty text have fingerprint zero: they are one group
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted(str(r.doc_id) for r in got if r.piece == 0) == ["1", "2", "3", "None"]
