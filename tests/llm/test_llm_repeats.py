@@ -150,3 +150,17 @@ def test_sketch_never_counts_too_low(spark):
     assert all(p for v, p in zip(asked.tolist(), twice.passes(asked)) if counts[v] > 1)
     assert all(p for v, p in zip(asked.tolist(), once.passes(asked)) if counts[v])
     assert twice.passes(asked)[3000:].mean() < 0.05
+
+
+def test_passages_of_many_words_go_from_400_bytes_on(spark):
+    """A passage of over 50 words goes as a whole if it has 400 bytes, and stays as a whole if it has one less."""
+    rows, wanted = [], {}
+    for k, size in enumerate((260, 399, 400, 401, 650)):
+        passage = prose(40 + k, 400, 60).encode("ascii", "ignore").decode()[: size - 1] + "z"
+        assert len(passage) == size and len(passage.split()) > 50
+        for side in (0, 1):
+            head, tail = prose(60 + 2 * k + side, 40), prose(80 + 2 * k + side, 40)
+            rows.append((2 * k + side, f"{head}<{side}{passage}{side}>{tail}"))
+            wanted[2 * k + side] = size if size >= 400 else 0
+    got = remove_repeated_bytes(documents(spark, rows)).collect()
+    assert {r.doc_id: r.n_removed for r in got} == wanted
