@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -89,25 +88,26 @@ def first_token(c: Column | str) -> Column:
 
 
 def _fold_accents(names: Column) -> Column:
-    """Arrow-batched NFKD folding.  Defined inside so that it ships by value to executors without this package."""
+    """NFKD folding, one text at a time.  Defined inside so that it ships by value to executors without this package."""
 
-    def fold(batch: pd.Series) -> pd.Series:
-        from unicodedata import combining
+    def fold(text: str | None) -> str | None:
+        from unicodedata import combining, normalize
 
-        bare = batch.str.normalize("NFKD").map(
-            lambda text: text if text.isascii() else "".join(ch for ch in text if not combining(ch)),
-            na_action="ignore",
-        )
-        return bare.str.lower().str.strip()
+        if text is None:
+            return None
+        if not text.isascii():
+            text = "".join(ch for ch in normalize("NFKD", text) if not combining(ch))
+        return text.lower().strip()
 
-    return F.pandas_udf(fold, StringType())(names)
+    return F.udf(fold, StringType(), useArrow=False)(names)
 
 
 def name_key(c: Column | str) -> Column:
     """Accent-free, lower-case, trimmed join key; ``''`` for NULL.
 
     Spark has no NFKD function and its accent-insensitive collations also fold letters such as Ø, which this key
-    must keep, so this is the one Arrow-batched Python expression of the library.
+    must keep, so this is the one Python expression of the library.  It is no Arrow one: an Arrow batch holds 10,000
+    texts however long they are, and folding a batch makes several copies of them all.
     """
     return F.coalesce(_fold_accents(_col(c)), F.lit(""))
 

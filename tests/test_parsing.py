@@ -51,6 +51,15 @@ def test_name_key(column):
     assert column(names, p.name_key) == ["martin ødegaard", "łukasz fabianski", "joao gomes", "", "fin", "ilkay"]
 
 
+def test_name_key_keeps_no_batch_of_long_texts(spark, capsys):
+    """Texts go to Python in small lots: an Arrow batch would hold 10,000 of any length."""
+    df = spark.createDataFrame([("É" * 100_000 + " ",), (None,)], "c string").select(p.name_key("c").alias("k"))
+    assert {r.k for r in df.collect()} == {"e" * 100_000, ""}
+    df.explain()
+    plan = capsys.readouterr().out
+    assert "BatchEvalPython" in plan and "Arrow" not in plan
+
+
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.text(max_size=12), min_size=1, max_size=40))
 def test_name_key_is_nfkd_without_marks(column, texts):
