@@ -86,6 +86,30 @@ def test_knn_with_separate_donors(spark):
         assert [r[f] for f in FEATURES] == pytest.approx(want[r["id"]], rel=1e-9)
 
 
+def test_knn_pairs_only_rows_and_donors_that_share_a_feature(spark):
+    """Rows without `a` never look through the donors that have nothing else, and cells hold some donors, not few or many."""
+    rng = random.Random(5)
+    rows = [(i, rng.gauss(0, 900.0), None, None, None) for i in range(300)]
+    rows += [(300 + i, None, rng.gauss(0, 30.0), rng.gauss(0, 3.0), None) for i in range(200)]
+    rows += [(500 + i, rng.gauss(0, 900.0), rng.gauss(0, 30.0), None, 1.0) for i in range(200)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    got = {r["id"]: [r[f] for f in FEATURES] for r in neighbours.knn_impute(df, FEATURES, "id").collect()}
+    want = brute(rows, rows)
+    assert all(got[i] == pytest.approx(want[i], rel=1e-9) for i in want) and got.keys() == want.keys()
+    only_a, b_and_c, a_b_d = 1, 2 + 4, 1 + 2 + 8
+    asked = {(only_a, 1), (only_a, 2), (b_and_c, 0), (b_and_c, 3), (a_b_d, 2)}
+    axes = [neighbours._Axis(i, spread, [float(c) for c in range(65)]) for i, spread in enumerate((9e5, 3e3, 3.0, 0.0))]
+    grids = neighbours._grids(axes, asked, {only_a: 30_000, b_and_c: 20_000, a_b_d: 20_000})
+    assert {p: (g.rows, g.donors) for p, g in grids.items()} == {
+        "0": ({only_a}, {a_b_d}), "1": ({b_and_c, a_b_d}, {a_b_d, b_and_c})
+    }
+    for n in (1_000, 50_000, 5_000_000):
+        cells = 1.0
+        for i, slices in neighbours._slices(axes, (0, 1), n).items():
+            cells *= 64 * slices if slices > 0 else 64 / -slices
+        assert n / 100 < cells < n / 10
+
+
 def test_knn_without_gaps_and_without_any_value(spark):
     df = spark.createDataFrame([(1, 1.0, 2.0, None, 4.0), (2, 2.0, 3.0, None, 5.0)], SCHEMA)
     assert neighbours.knn_impute(df.select("id", "a", "b"), ["a", "b"], "id").orderBy("id").collect()[1]["b"] == 3.0
