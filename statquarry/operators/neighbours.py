@@ -339,7 +339,8 @@ def _bounds(rows: DataFrame, grid: DataFrame, cells: list[str], wanted: list[int
         pairs = rows.join(F.broadcast(found), ["p", "t"]) if keys == ["p"] else splittable_join(rows, found, [*keys, "t"])
         part = pairs.select("rid", "t", "id", _distance(width).alias("dist"))
         tried = part if tried is None else tried.unionByName(part)
-    tried = tried.where(F.col("dist").isNotNull()).groupBy("rid", "t", "id").agg(F.min("dist").alias("dist"))
+    # whoever meets in a grid shares a feature: no distance is NULL
+    tried = tried.groupBy("rid", "t", "id").agg(F.min("dist").alias("dist"))
     order = Window.partitionBy("rid", "t").orderBy("dist", "id")
     ranked = tried.withColumn("rank", F.row_number().over(order))
     return ranked.where(F.col("rank") == k).select("rid", "t", F.col("dist").alias("bound"))
